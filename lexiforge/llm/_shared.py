@@ -17,6 +17,7 @@ cloudpickle.register_pickle_by_value(sys.modules["lexiforge"])
 #: The white space of the contracts, for Java's and for RE2's regular expressions.
 WS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A side of a join is broadcast only below this many rows of two longs (about 8 MB); beyond it the join shuffles.
 BROADCAST_ROWS = 400_000
 
@@ -42,9 +43,24 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: cuts the lineage and survives lost executors."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")  # the write is complete in itself: nothing reads its shuffle files again
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before is not None else spark.conf.unset(SHUFFLE_CLEANUP)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.lexiforge_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by stored()."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.lexiforge_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sized_broadcast(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
