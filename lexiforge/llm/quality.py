@@ -22,16 +22,19 @@ from lexiforge.llm._shared import arrow_texts, read_table, sized_broadcast, stor
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.7
 SHRINKAGES = (0.02, 0.05, 0.1, 0.2, 0.4)
-NAMES = ("log_words", "mean_word", "unique", "upper", "bang", "symbol", "pipe", "digit", "stop", "comma", "line", "line_unique", "other", "high")
+NAMES = ("log_words", "mean_word", "unique", "upper", "bang", "symbol", "pipe", "digit", "stop", "comma", "line", "repeat", "other", "high")
 
 
 def statistics(data: bytes) -> list[float]:
     """Transformed statistics of one whole text."""
+    from itertools import islice
+    from operator import eq
+
     import numpy as np
 
     hist = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     words = data.split()
-    n, lines = len(words), [x for x in data.split(b"\n") if x]
+    n = len(words)
     letters = hist[65:91].sum() + hist[97:123].sum() + hist[192:].sum()
     per = lambda *codes: float(sum(hist[c] for c in codes)) / max(1, n)
     marks = hist[33:48].sum() + hist[58:65].sum() + hist[91:97].sum() + hist[123:127].sum()
@@ -44,7 +47,7 @@ def statistics(data: bytes) -> list[float]:
     root = [float(np.sqrt(x)) for x in rates]
     return [
         float(np.log1p(n)), float(np.log1p((len(data) - hist[9:14].sum() - hist[32]) / max(1, n))), unique, *root,
-        len(set(lines)) / max(1, len(lines)), float(np.sqrt((marks - usual) / max(1, n))), float(np.sqrt(hist[128:].sum() / max(1, len(data)))),
+        float(np.sqrt(sum(map(eq, words, islice(words, 1, None))) / max(1, n))), float(np.sqrt((marks - usual) / max(1, n))), float(np.sqrt(hist[128:].sum() / max(1, len(data)))),
     ]
 
 
