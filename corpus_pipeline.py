@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from lexiforge.llm._shared import read_table, stored
 from lexiforge.llm.exact_dedup import drop_copies
 from lexiforge.llm.mixing import take_mix
+from lexiforge.llm.near_text import drop_near_copies
 from lexiforge.llm.packing import pack, tokenizer_path
 from lexiforge.llm.quality import keep_good
-from lexiforge.llm.simhash import drop_near_copies
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: SimHash within two bits, or five-word shingles alike by 0.8 or more."""
     return drop_near_copies(docs)
 
 

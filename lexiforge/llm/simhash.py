@@ -60,15 +60,20 @@ def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def trie_pairs(keys, values, budget: int = BUDGET, frontier: int = FRONTIER):
-    """Yields index arrays (i, j) of pairs within budget bits; keys and (unsigned, distinct per key) values are sorted."""
+    """Yields index arrays (i, j) of pairs within budget bits; keys and (unsigned, distinct per key) values are sorted.
+
+    values: one row of 64-bit words per fingerprint, or a plain array of one word each.
+    """
     import numpy as np
 
     n = len(keys)
+    words = values.reshape(n, -1) if n else values.reshape(0, 1)
+    width = 64 * words.shape[1]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if n else np.zeros(0, np.int64)
     ends = np.r_[starts[1:], n]
     many = ends - starts > 1
-    first = (starts[many], ends[many], starts[many], ends[many], np.zeros(many.sum(), np.int8))
-    stack, ones, at = [(63, first)], None, None
+    first = (starts[many], ends[many], starts[many], ends[many], np.zeros(many.sum(), np.int16))
+    stack, ones, at = [(width - 1, first)], None, None
     while stack:
         bit, (alo, ahi, blo, bhi, diff) = stack.pop()
         while bit >= 0 and len(alo):
@@ -77,7 +82,8 @@ def trie_pairs(keys, values, budget: int = BUDGET, frontier: int = FRONTIER):
                 stack.append((bit, tuple(x[half:] for x in (alo, ahi, blo, bhi, diff))))
                 alo, ahi, blo, bhi, diff = (x[:half] for x in (alo, ahi, blo, bhi, diff))
             if at != bit:
-                ones, at = np.r_[0, np.cumsum((values >> np.uint64(bit)) & np.uint64(1), dtype=np.int64)], bit
+                column = words[:, (width - 1 - bit) // 64]
+                ones, at = np.r_[0, np.cumsum((column >> np.uint64(bit % 64)) & np.uint64(1), dtype=np.int64)], bit
             amid, bmid = ahi - (ones[ahi] - ones[alo]), bhi - (ones[bhi] - ones[blo])
             own = alo == blo
             parts = [(alo, amid, blo, bmid, diff), (amid, ahi, bmid, bhi, diff), (alo, amid, bmid, bhi, diff + 1)]
@@ -88,7 +94,7 @@ def trie_pairs(keys, values, budget: int = BUDGET, frontier: int = FRONTIER):
             single = (ahi - alo == 1) & (bhi - blo == 1)
             if single.any():  # the bits that are left are compared at once
                 i, j = alo[single], blo[single]
-                near = np.bitwise_count(values[i] ^ values[j]) <= budget
+                near = np.bitwise_count(words[i] ^ words[j]).sum(1, dtype=np.int64) <= budget
                 yield i[near], j[near]
                 alo, ahi, blo, bhi, diff = (x[~single] for x in (alo, ahi, blo, bhi, diff))
             bit -= 1
@@ -203,19 +209,5 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.join(of, "print", "left").select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the first document (smallest doc_id) of each component; columns as before."""
-    found = stored(near_copies(docs, id_col, text_col), "near-copies")
-    lost = stored(found.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("__id")).distinct(), "near-lost")
-    out = docs.join(sized_broadcast(lost, lost.count()), F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
-    twice = stored(found.filter("doc_id <=> component_id").groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id"), "near-twice")
-    n = twice.count()
-    if n:  # one id in several rows
-        hit = F.col(id_col).eqNullSafe(F.col("__id"))
-        again = sized_broadcast(twice, n)
-        out = out.join(again, hit, "left_anti").unionByName(out.join(again, hit, "left_semi").dropDuplicates([id_col]))
-    return out
-
-
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(read_table(spark, sf_dir, "documents"))

@@ -80,16 +80,7 @@ def test_near_copies_equal_brute_force(spark):
     assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=key) == want
 
 
-def test_drop_near_copies(spark):
-    docs = documents(spark)
-    found = M.near_copies(docs).collect()
-    left = M.drop_near_copies(docs)
-    assert left.columns == docs.columns
-    ids = [r.doc_id for r in left.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({r.component_id for r in found if r.component_id is not None})
-
-
 def test_empty_table(spark):
-    assert M.near_copies(documents(spark, [])).count() == 0 and M.drop_near_copies(documents(spark, [])).count() == 0
+    assert M.near_copies(documents(spark, [])).count() == 0
     one = M.near_copies(documents(spark, [(5, None, None, None, None), (4, "", None, None, None)])).collect()
     assert [(r.fingerprint, r.component_id) for r in one] == [("0" * 16, 4)] * 2
