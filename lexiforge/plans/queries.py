@@ -101,8 +101,8 @@ def batching(spark, sf_dir):
  (SELECT count(*) FROM events WHERE event_type = 'click' AND user_id % 4 = CASE language WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 ELSE 3 END) >= ceil(count(*) / 20) AS complete FROM c GROUP BY language""")
 def batch_completeness(spark, sf_dir):
     lang = F.element_at(F.array(*map(F.lit, ("en", "de", "fr", "es"))), (F.col("user_id") % 4 + 1).cast("int"))
-    tasks = read(spark, sf_dir, "events").select(F.lit("s6").alias("stage"), F.when(F.col("event_type") == "click", "done").otherwise("queued").alias("status"), F.lit("maas").alias("executor"), F.concat(lang, F.lit("#"), "event_id").alias("item_key"))
-    return vocab.completeness(tasks, _candidates(spark, sf_dir), "s6", "maas")
+    tasks = read(spark, sf_dir, "events").select(F.lit("s6").alias("stage"), F.when(F.col("event_type") == "click", "done").otherwise("queued").alias("status"), F.lit("batch").alias("executor"), F.concat(lang, F.lit("#"), "event_id").alias("item_key"))
+    return vocab.completeness(tasks, _candidates(spark, sf_dir), "s6", "batch")
 
 
 @query(f"""WITH {_CAND_SQL}, g AS (SELECT lang AS language, lower(regexp_extract(text, '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS word, substr(text, 1, 40) AS gloss_zh, doc_id FROM documents)
