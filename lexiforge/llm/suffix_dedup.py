@@ -317,9 +317,12 @@ def _solve(batches):
 
 
 def _blocks(batches):
-    """FETCHED rows to blocks of at most BLOCK windows: (core, doc, a, windows, content); core: hash of what all windows hold."""
+    """FETCHED rows to blocks of at most BLOCK windows: (core, b1, b2, doc, a, windows, content).
+
+    core: hash of the bytes that all windows of the block hold; b1, b2: 128-bit hash of all its bytes.
+    """
     import pyarrow as pa
-    from xxhash import xxh3_64_intdigest
+    from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
     for batch in batches:
         out = []
@@ -330,24 +333,29 @@ def _blocks(batches):
                 b = min(windows - 1, anchor - block * BLOCK)
                 # [low, high) lies in every window of the block, and so in the content
                 low, high = anchor - block * BLOCK, anchor - (block * BLOCK + BLOCK - 1) + LENGTH
-                core = xxh3_64_intdigest(content[low:high], (g ^ block) & 0xFFFFFFFF)
-                out.append((core - (core >> 63 << 64), doc, first + a, b - a + 1, content[a : b + LENGTH]))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, (pa.int64(),) * 4 + (pa.binary(),), strict=True)], ["core", "doc", "a", "windows", "content"])
+                core, body = xxh3_64_intdigest(content[low:high], (g ^ block) & 0xFFFFFFFF), content[a : b + LENGTH]
+                d = xxh3_128_digest(body, anchor - a)
+                out.append((core - (core >> 63 << 64), signed(d[:8]), signed(d[8:]), doc, first + a, b - a + 1, body))
+        kinds = (pa.int64(),) * 6 + (pa.binary(),)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 7, kinds, strict=True)], ["core", "b1", "b2", "doc", "a", "windows", "content"])
+
+
+def signed(raw: bytes) -> int:
+    return int.from_bytes(raw, "little", signed=True)
 
 
 def _windows(batches):
-    """(doc, a, windows, content) to each window's 128-bit hash: (h1, h2, doc, a)."""
+    """(doc, a, windows, n, content) to each window's 128-bit hash: (h1, h2, doc, a, n)."""
     import pyarrow as pa
     from xxhash import xxh3_128_digest
 
-    signed = lambda x: int.from_bytes(x, "little", signed=True)
     for batch in batches:
         out = []
-        for doc, a, windows, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for doc, a, windows, n, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for k in range(windows):
                 d = xxh3_128_digest(content[k : k + LENGTH])
-                out.append((signed(d[:8]), signed(d[8:]), doc, a + k))
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], ["h1", "h2", "doc", "a"])
+                out.append((signed(d[:8]), signed(d[8:]), doc, a + k, n))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 5)], ["h1", "h2", "doc", "a", "n"])
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -367,13 +375,19 @@ def spans(docs: DataFrame) -> DataFrame:
     cold = fetched.join(crowded, "g", "left_anti").repartition("g").sortWithinPartitions("g").mapInArrow(_solve, "doc long, a long, b long")
     out = [whole(hits.filter("one_kind")), whole(mixed.join(kinds.filter("n > 1").select("g", "s"), ["g", "s"], "left_semi")), cold]
     if crowded.limit(1).count():
-        kind = "core long, doc long, a long, windows long, content binary"
+        kind = "core long, b1 long, b2 long, doc long, a long, windows long, content binary"
         blocks = stored(fetched.join(crowded, "g", "left_semi").select(*[x.split()[0] for x in FETCHED.split(", ")]).mapInArrow(_blocks, kind), "blocks")
-        shared = stored(blocks.groupBy("core").count().filter("count > 1").select("core"), "cores")
-        found = blocks.join(shared, "core", "left_semi").select("doc", "a", "windows", "content").mapInArrow(_windows, "h1 long, h2 long, doc long, a long")
+        # blocks with the same bytes are one kind again; only different kinds that share a core are compared by windows
+        same = blocks.groupBy("core", "b1", "b2").agg(F.count("*").alias("n"), F.min(F.struct("doc", "a")).alias("one"))
+        same = stored(same.select("core", "b1", "b2", "n", F.col("one.doc").alias("doc"), F.col("one.a").alias("a")), "block-kinds")
+        equal = blocks.join(same.filter("n > 1").select("b1", "b2"), ["b1", "b2"], "left_semi")
+        out.append(equal.select("doc", "a", (F.col("a") + F.col("windows") - 1 + LENGTH).alias("b")))
+        shared = same.groupBy("core").count().filter("count > 1").select("core")
+        ones = same.join(shared, "core", "left_semi").select("b1", "b2", "doc", "a", "n")
+        found = blocks.join(ones, ["b1", "b2", "doc", "a"]).select("doc", "a", "windows", "n", "content").mapInArrow(_windows, "h1 long, h2 long, doc long, a long, n long")
         found = stored(found, "windows")
         again = stored(found.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"), "again")
-        again = found.join(again, ["h1", "h2"], "left_semi")
+        again = found.filter("n = 1").join(again, ["h1", "h2"], "left_semi")
         out.append(again.select("doc", "a", (F.col("a") + LENGTH).alias("b")))
     spans = out[0]
     for more in out[1:]:
