@@ -85,69 +85,70 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int64()))], ["doc", "shingles"])
 
 
-def group_edges(docs: list, wide: list[bytes], sets: list, similarity: float = SIMILARITY, reach: int = REACH) -> list[tuple]:
-    """Edges (doc, doc) that join all verified pairs of one block, nearest pairs first; at most one a document."""
-    import numpy as np
+class Group:
+    """The documents of one block, by doc: joins all verified pairs, nearest first, with at most one edge a document.
 
-    root = {d: d for d in docs}
+    Holds CHUNK documents and, of those before, one of each component, however large the block is.
+    """
 
-    def find(d):
-        while root[d] != d:
-            root[d] = root[root[d]]
-            d = root[d]
-        return d
+    def __init__(self, similarity: float = SIMILARITY, reach: int = REACH):
+        self.similarity, self.reach, self.rows, self.carried = similarity, reach, [], 0
 
-    edges = []
+    def add(self, doc: int, wide: bytes, found) -> list[tuple]:
+        self.rows.append((doc, wide, found))
+        return self.settle() if len(self.rows) - self.carried >= CHUNK else []
 
-    def verify(pairs):
-        for _, i, j in sorted(pairs):
-            a, b = find(docs[i]), find(docs[j])
-            if a != b and likeness(sets[i], sets[j]) >= similarity:
-                root[max(a, b)] = min(a, b)
-                edges.append((docs[i], docs[j]))
+    def near(self) -> list[tuple]:
+        """(bits, i, j) of the held documents within reach; of equal fingerprints, neighbours."""
+        import numpy as np
 
-    # groups of more than CHUNK documents: each chunk meets itself and one document of each component before it
-    carried: list[int] = []
-    for begin in range(0, len(docs), CHUNK):
-        part = [*carried, *range(begin, min(len(docs), begin + CHUNK))]
-        values = np.frombuffer(b"".join(wide[i] for i in part), ">u8").astype(np.uint64).reshape(len(part), -1)
+        values = np.frombuffer(b"".join(w for _, w, _ in self.rows), ">u8").astype(np.uint64).reshape(len(self.rows), -1)
         order = np.lexsort(values.T[::-1])
         values = values[order]
-        same = np.flatnonzero((values[1:] == values[:-1]).all(1))  # equal fingerprints are neighbours, and one value of the trie
-        first = np.r_[True, (values[1:] != values[:-1]).any(1)]
-        heads = np.flatnonzero(first)
-        pairs = [(0, part[order[k]], part[order[k + 1]]) for k in same]
-        for i, j in trie_pairs(np.zeros(len(heads), np.int64), np.ascontiguousarray(values[heads]), reach):
-            far = np.bitwise_count(values[heads[i]] ^ values[heads[j]]).sum(1)
-            pairs += [(int(d), part[order[x]], part[order[y]]) for d, x, y in zip(far, heads[i], heads[j], strict=True)]
-        verify(pairs)
-        seen: dict = {}
-        for i in part:
-            seen.setdefault(find(docs[i]), i)
-        carried = list(seen.values()) if begin + CHUNK < len(docs) else []
-    return edges
+        new = np.r_[True, (values[1:] != values[:-1]).any(1)]
+        heads = np.flatnonzero(new)
+        pairs = [(0, order[k - 1], order[k]) for k in np.flatnonzero(~new)]
+        for i, j in trie_pairs(np.zeros(len(heads), np.int64), np.ascontiguousarray(values[heads]), self.reach):
+            bits = np.bitwise_count(values[heads[i]] ^ values[heads[j]]).sum(1, dtype=np.int64)
+            pairs += zip(bits.tolist(), order[heads[i]], order[heads[j]], strict=True)
+        return sorted(pairs)
+
+    def settle(self) -> list[tuple]:
+        if len(self.rows) < 2:
+            return []
+        root, edges = list(range(len(self.rows))), []
+
+        def find(i):
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        for _, i, j in self.near():
+            a, b = find(i), find(j)
+            if a != b and likeness(self.rows[i][2], self.rows[j][2]) >= self.similarity:
+                root[max(a, b)] = min(a, b)
+                edges.append((self.rows[i][0], self.rows[j][0]))
+        self.rows = [r for i, r in enumerate(self.rows) if find(i) == i]
+        self.carried = len(self.rows)
+        return edges
 
 
 def _verified(similarity: float):
     def verified(batches):
         import pyarrow as pa
 
-        def solved(rows):
-            rows.sort(key=lambda r: r[0])
-            edges = group_edges([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], similarity)
-            return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-        key, rows = None, []
+        out, key, group = [], None, Group(similarity)
         for batch in batches:
-            for k, doc, wide, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
-                if k != key and rows:
-                    if len(rows) > 1:
-                        yield solved(rows)
-                    rows = []
-                key = k
-                rows.append((doc, wide, found.values.to_numpy()))
-        if len(rows) > 1:
-            yield solved(rows)
+            for k, doc, wide, found in zip(*(batch.column(c).to_pylist() for c in range(3)), batch.column(3), strict=True):
+                if k != key:
+                    out += group.settle()
+                    key, group = k, Group(similarity)
+                out += group.add(doc, wide, found.values.to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+            out = []
+        out = group.settle()
+        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return verified
 
@@ -170,7 +171,7 @@ def similar(docs: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) ->
     texts = docs.select("doc", "text").join(sized_broadcast(needed, needed.count()), "doc", "left_semi")
     sets = stored(texts.mapInArrow(_sets, "doc long, shingles array<long>"), "shingles")
     rows = dealt.join(sets, "doc").join(wide.select("doc", "wide"), "doc").select("key", "doc", "wide", "shingles")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_verified(similarity), "a long, b long").distinct()
+    return rows.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_verified(similarity), "a long, b long").distinct()
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
