@@ -90,3 +90,20 @@ def test_large_group_yields_one_edge_a_document(spark):
     want = groups(150, lambda i, j: alike(texts[i], texts[j]) >= 0.8)
     assert groups(150, lambda i, j: (i, j) in have) == want and want.count(0) > 100
     assert len(edges) < 32 * 150 < sum(alike(texts[i], texts[j]) >= 0.8 for i in range(150) for j in range(i))
+
+
+def grouped(spark, texts, **more):
+    edges = M.similar(spark.createDataFrame(list(enumerate(texts)), "doc long, text string").repartition(3), **more).collect()
+    assert all(alike(texts[r.a], texts[r.b]) >= 0.8 for r in edges)
+    have = {(r.a, r.b) for r in edges} | {(r.b, r.a) for r in edges}
+    return groups(len(texts), lambda i, j: (i, j) in have)
+
+
+def test_appended_and_truncated_copies(spark):
+    rng, texts = random.Random(11), []
+    for n, more in [(100, 24), (100, 20), (300, 60), (300, 45), (300, 30), (10, 1)] * 4:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n + more)]
+        texts += [" ".join(words[:n]), " ".join(words)] if rng.random() < 0.5 else [" ".join(words), " ".join(words[more:])]
+    pairs = [alike(texts[k], texts[k + 1]) for k in range(0, len(texts), 2)]
+    assert min(pairs) >= 0.79 and sum(0.8 <= p <= 0.91 for p in pairs) >= 20
+    assert grouped(spark, texts) == groups(len(texts), lambda i, j: alike(texts[i], texts[j]) >= 0.8)
