@@ -107,3 +107,16 @@ def test_appended_and_truncated_copies(spark):
     pairs = [alike(texts[k], texts[k + 1]) for k in range(0, len(texts), 2)]
     assert min(pairs) >= 0.79 and sum(0.8 <= p <= 0.91 for p in pairs) >= 20
     assert grouped(spark, texts) == groups(len(texts), lambda i, j: alike(texts[i], texts[j]) >= 0.8)
+
+
+def test_a_chain_holds_in_a_crowded_key(spark, monkeypatch):
+    """Neighbours of the chain are alike, others aren't; all share the words in the middle, more than a chunk holds."""
+    monkeypatch.setattr(M, "CHUNK", 4)
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+    texts = [" ".join(words[k * 25 : k * 25 + 300]) for k in range(13)]
+    order = list(range(13))
+    rng.shuffle(order)
+    texts = [texts[k] for k in order]
+    assert alike(*(texts[order.index(k)] for k in (0, 2))) < 0.8
+    assert grouped(spark, texts, hot=2) == [0] * 13
