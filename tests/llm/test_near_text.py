@@ -120,3 +120,19 @@ def test_a_chain_holds_in_a_crowded_key(spark, monkeypatch):
     texts = [texts[k] for k in order]
     assert alike(*(texts[order.index(k)] for k in (0, 2))) < 0.8
     assert grouped(spark, texts, hot=2) == [0] * 13
+
+
+def test_a_crowd_does_not_part_a_pair(spark):
+    """The pairs that a small table links are linked among many others that share most of their words."""
+    rng = random.Random(17)
+    shared = [f"w{rng.randrange(10**6)}" for _ in range(240)]
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    pairs = []
+    for _ in range(12):
+        own = shared + fresh(60)
+        pairs += [" ".join(own), " ".join(own + fresh(rng.choice([45, 60, 70])))]
+    crowd = [" ".join(shared + fresh(rng.choice([70, 90]))) for _ in range(60)]
+    small = grouped(spark, pairs)
+    want = groups(len(pairs + crowd), lambda i, j: alike((pairs + crowd)[i], (pairs + crowd)[j]) >= 0.8)
+    assert small == want[:24] and small == [k - k % 2 for k in range(24)]
+    assert grouped(spark, pairs + crowd, hot=8) == want
