@@ -136,3 +136,16 @@ def test_a_crowd_does_not_part_a_pair(spark):
     want = groups(len(pairs + crowd), lambda i, j: alike((pairs + crowd)[i], (pairs + crowd)[j]) >= 0.8)
     assert small == want[:24] and small == [k - k % 2 for k in range(24)]
     assert grouped(spark, pairs + crowd, hot=8) == want
+
+
+def test_equal_words_in_other_orders(spark):
+    """Texts over the same words: alike ones are linked past reorderings of them, and so are texts near any of them."""
+    rng, texts = random.Random(23), []
+    for _ in range(4):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        other = rng.sample(words, 200)
+        a, b = " ".join(words), " ".join(other)
+        c = " ".join(words[:190] + words[190:][::-1])  # alike a, of the same words
+        d = " ".join([*other, "tail"])  # near b, not near a
+        texts += [a, b, c, d]
+    assert grouped(spark, texts) == [k // 4 * 4 + k % 2 for k in range(16)]
