@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
 import uuid
 
@@ -23,11 +22,10 @@ BROADCAST_ROWS = 400_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset (tests) a local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset (tests) one in the warehouse."""
     known = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not known:
-        known = tempfile.mkdtemp(prefix="lexiforge-")
-        spark.sparkContext.setCheckpointDir(known)
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lexiforge-checkpoints")
         known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/")
 
@@ -63,6 +61,17 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that df doesn't have: what a caller's columns are called never matters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def sized_broadcast(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """Hints a broadcast when the counted rows are few; otherwise leaves the choice to the planner."""
     return F.broadcast(df) if rows <= most else df

@@ -1,16 +1,21 @@
-"""Near dedup of whole texts: exact shingle likeness, candidates by bounds that lose no pair.
-
-Two documents are linked when the Jaccard likeness of their five-word shingles is 0.8 or more.  Shingles have one order for
-the whole table (those common in a sample last, else by hash); of two alike sets of n and m the first n - ceil(0.8 n) + 1
-and m - ceil(0.8 m) + 1 in that order share a shingle (prefix filter).  Documents of such a shingle are compared if their
-sizes and its places in both allow the likeness.  The sample decides only the cost, never the result.
-
-A shingle of over HOT documents is compared in two steps: every document with LEADERS of them, then all pairs that the
-links so far leave in different components, dealt over pairs of chunks of CHUNK documents.  Of these a pair is dropped only
-if its parity prints differ in more bits than the sets may differ in shingles.  What is left is verified on the whole sets.
-
-Defined results: null text counts as empty; texts without words are alike; texts under five words are one shingle; the
-document with the smallest doc_id of each group stays (null last); an empty table gives an empty result.
+"""Near dedup of whole texts: SimHash links by the trie self-join, and exact likeness of five-word shingles.
+
+Two documents are linked when their SimHash fingerprints differ in two bits at most, or when the Jaccard likeness of their
+sets of five-word shingles is 0.8 or more.  Candidates for the second come from bounds that lose no pair: shingles have one
+order for the whole table (those common in a sample last, else by hash); of two alike sets of n and m the first
+n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 in that order share a shingle (prefix filter).  Documents of such a shingle are
+compared if their sizes and its places in both allow the likeness, then by parity prints (sets that differ in d shingles
+differ in d bits at most), and what is left is verified on the whole sets.  The sample decides only the cost.
+
+A shingle that the sample shows as common, or that over HOT documents hold, is crowded: no task takes its documents at once.
+Every document meets LEADERS of them; then, of the components that the links so far leave, all but the largest meet all
+members, dealt over cells of CHUNK by CHUNK documents.  Only pairs within one component are left out, so that no link between
+components is lost at any size; the cost grows with the documents outside of a crowd's largest component times the crowd.
+
+Defined results: null text counts as empty; texts without words are alike; texts under five words are one shingle; texts of
+any length are taken whole; rows with one doc_id, or with none, are documents of their own; the document with the smallest
+doc_id of each group stays (null last, then the first row); an empty table gives an empty result; other columns, whatever
+their names, are carried along.
 """
 
 from __future__ import annotations
@@ -20,14 +25,18 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import arrow_texts, discard, sized_broadcast, stored, text_or_empty
-from lexiforge.llm.simhash import components, links, prints
+from lexiforge.llm._shared import arrow_texts, discard, fresh, sized_broadcast, stored, text_or_empty
+from lexiforge.llm.simhash import components, links, simhash
 
 SIMILARITY, SHINGLE = 0.8, 5
 HOT, CHUNK, LEADERS = 32, 2048, 3
 #: Documents of the sample that orders shingles, its smallest share, and how many common shingles are kept.
 SAMPLE, SHARE, COMMON = 20_000, 16, 100_000
 PARITY_BITS, STEP_ROWS = 2048, 200_000
+#: Pairs of one document that meet one copy of its set.
+PAIRS_OF_ONE = 4096
+#: Pairs whose parity prints are compared at once.
+COMPARED = 50_000
 
 
 def shingles(data: bytes, size: int = SHINGLE):
@@ -66,29 +75,33 @@ def parity(found) -> bytes:
 
 
 def may_differ(n, m, similarity: float):
-    """In how many shingles sets of n and m may differ."""
-    return (n + m) * (1 - similarity) / (1 + similarity) + 1e-6
+    """In how many shingles sets of n and m may differ; numbers, arrays or columns."""
+    return (n + m) * ((1 - similarity) / (1 + similarity)) + 1e-6
+
+
+def fits(n, m, i, j, similarity: float):
+    """Whether sets of n and m with a shingle at places i and j can be alike: before and after it they differ by the lengths."""
+    return abs(i - j) + abs((n - i) - (m - j)) <= may_differ(n, m, similarity)
 
 
 def _texts(batch):
     data, ends = arrow_texts(batch.column(1))
-    return (shingles(bytes(data[a:b])) for a, b in zip(ends[:-1], ends[1:], strict=True))
+    return (bytes(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True))
 
 
 def _sets(batches):
     import pyarrow as pa
 
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(_texts(batch)), pa.list_(pa.int64()))], ["doc", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(shingles, _texts(batch))), pa.list_(pa.int64()))], ["doc", "shingles"])
 
 
 def _singly(batches):
-    import numpy as np
     import pyarrow as pa
 
     for batch in batches:
-        for part in _texts(batch):
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int64))], ["shingle"])
+        for text in _texts(batch):
+            yield pa.RecordBatch.from_arrays([pa.array(shingles(text))], ["shingle"])
 
 
 def common_shingles(docs: DataFrame):
@@ -104,116 +117,162 @@ def common_shingles(docs: DataFrame):
     return hashes[order], n[order]
 
 
+SKETCH = "doc long, print long, n long, digest binary, parity binary, first array<long>, rare int"
+
+
 def _sketched(similarity: float, hashes, counts):
-    """(doc, text) to the size, a digest of the set, its parity print and its first shingles in the order of the table."""
+    """(doc, text) to SKETCH: the SimHash print, the size, a digest and the parity print of the set, and its first shingles
 
-    def sketched(batches):
+    in the order of the table, of which so many as `rare` says aren't common in the sample."""
+
+    def one(text):
         import numpy as np
-        import pyarrow as pa
         from xxhash import xxh128_digest
 
+        found, made = shingles(text), simhash(text)
+        n, order, rare = len(found), found, len(found)
+        if len(hashes):
+            at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+            weight = np.where(hashes[at] == found, counts[at], 0)
+            order, rare = found[np.argsort(weight, kind="stable")], int((weight == 0).sum())
+        first = order[: n - math.ceil(similarity * n - 1e-9) + 1]
+        return made - (made >> 63 << 64), n, xxh128_digest(found.tobytes()), parity(found), first, min(rare, len(first))
+
+    def sketched(batches):
+        import pyarrow as pa
+
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int32())
         for batch in batches:
-            rows = []
-            for found in _texts(batch):
-                n, order = len(found), found
-                if len(hashes):
-                    at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-                    order = found[np.argsort(np.where(hashes[at] == found, counts[at], 0), kind="stable")]
-                first = order[: n - math.ceil(similarity * n - 1e-9) + 1]
-                rows.append((n, xxh128_digest(found.tobytes()), parity(found), first))
-            made = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["doc", "n", "digest", "parity", "first"])
+            made = list(zip(*map(one, _texts(batch)), strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, made, kinds)], [x.split()[0] for x in SKETCH.split(", ")])
 
     return sketched
 
 
-def _fits(n, m, i, j, similarity: float):
-    """Whether sets of n and m with a shingle at places i and j can be alike: before and after it they differ by the lengths."""
-    return abs(i - j) + abs((n - i) - (m - j)) <= may_differ(n, m, similarity)
+def sketches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """docs (doc: distinct longs, text) to the stored SKETCH rows: the one pass over all texts."""
+    return stored(docs.select("doc", "text").mapInArrow(_sketched(similarity, *common_shingles(docs)), SKETCH), "sketch")
+
+
+MEMBER = "key long, doc long, span long"  # span: size of the set << 32 | place of the key in it
+
+
+def _members(sketch: DataFrame, start, length) -> DataFrame:
+    rows = sketch.select("doc", "n", start.alias("start"), F.posexplode(F.slice("first", start + 1, length)).alias("at", "key"))
+    return rows.select("key", "doc", F.shiftleft("n", 32).bitwiseOR((F.col("start") + F.col("at")).cast("long")).alias("span"))
 
 
 def _candidates(similarity: float, hot: int):
-    """Sorted (key, doc, n, place) to pairs (a, b), and to (key, a) with b null for the documents of a crowded key."""
+    """MEMBER rows sorted by key to pairs (a, b, null, null) of keys of at most `hot` documents; rows of other keys come
+    back as (key, doc, span) with b null, at once, so that no key is held."""
 
-    def solved(key, doc, n, place):
-        import numpy as np
+    def made(key, a, b, span):
         import pyarrow as pa
 
+        columns = [pa.nulls(len(a), pa.int64()) if x is None else pa.array(x) for x in (key, a, b, span)]
+        return pa.RecordBatch.from_arrays(columns, ["key", "a", "b", "span"])
+
+    def solved(key, doc, span):
+        import numpy as np
+
+        n, place = span >> 32, span & 0xFFFFFFFF
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[starts, len(key)])
         left = np.repeat(starts + sizes, sizes) - np.arange(len(key)) - 1  # rows of the key after this one
         size = np.repeat(sizes, sizes)
-        small, ends = np.flatnonzero((size > 1) & (size <= hot)), []
+        small, ends = np.flatnonzero((size > 1) & (size <= hot)), [np.zeros((0, 2), np.int64)]
         for d in range(1, hot):
             small = small[left[small] >= d]
             if not len(small):
                 break
-            ends.append((small, small + d))
+            i, j = small, small + d
+            good = fits(n[i], n[j], place[i], place[j], similarity)
+            i, j = doc[i[good]], doc[j[good]]
+            ends.append(np.stack([np.minimum(i, j), np.maximum(i, j)], 1))
+        pairs = np.unique(np.concatenate(ends), axis=0)
+        yield made(None, pairs[:, 0], pairs[:, 1], None)
         crowd = np.flatnonzero(size > hot)
-        if len(crowd):
-            group = np.repeat(np.arange(len(starts)), sizes)[crowd]
-            heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-            many = np.diff(np.r_[heads, len(crowd)])
-            for seed in range(1, LEADERS + 1):
-                mixed = doc[crowd].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed * 0xBF58476D1CE4E5B9 % (1 << 64))
-                mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-                lead = crowd[np.lexsort((mixed, group))[heads]]
-                ends.append((np.repeat(lead, many), crowd))
-        pairs = np.zeros((0, 2), np.int64)
-        if ends:
-            i, j = (np.concatenate(x) for x in zip(*ends, strict=True))
-            good = (doc[i] != doc[j]) & _fits(n[i], n[j], place[i], place[j], similarity)
-            pairs = np.unique(np.stack([np.minimum(doc[i], doc[j])[good], np.maximum(doc[i], doc[j])[good]], 1), axis=0)
-        none = pa.nulls(len(pairs), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], ["key", "a", "b", "n", "place"])
-        members = [pa.array(x[crowd]) for x in (key, doc, n, place)]
-        yield pa.RecordBatch.from_arrays([members[0], members[1], pa.nulls(len(crowd), pa.int64()), *members[2:]], ["key", "a", "b", "n", "place"])
+        yield made(key[crowd], doc[crowd], None, span[crowd])
 
     def candidates(batches):
         import numpy as np
 
-        held, rows, limit = [], 0, STEP_ROWS
+        held, rows, streamed = [], 0, None
         for batch in batches:
-            held.append([np.array(batch.column(k), np.int64) for k in range(4)])
-            rows += batch.num_rows
-            if rows >= limit:
+            columns = [np.array(batch.column(k), np.int64) for k in range(3)]
+            if streamed is not None and len(columns[0]):
+                more = int(np.searchsorted(columns[0], streamed, "right"))
+                yield made(columns[0][:more], columns[1][:more], None, columns[2][:more])
+                columns = [x[more:] for x in columns]
+                if not len(columns[0]):
+                    continue
+                streamed = None
+            held.append(columns)
+            rows += len(columns[0])
+            if rows >= STEP_ROWS:
                 columns = [np.concatenate(x) for x in zip(*held, strict=True)]
                 last = int(np.searchsorted(columns[0], columns[0][-1]))  # the rows of the last key wait for the rest
                 if last:
                     yield from solved(*(x[:last] for x in columns))
                 held, rows = [[x[last:] for x in columns]], rows - last
-                limit = max(STEP_ROWS, 2 * rows)
+                if rows > hot:
+                    streamed = columns[0][-1]
+                    yield made(held[0][0], held[0][1], None, held[0][2])
+                    held, rows = [], 0
         if rows:
             yield from solved(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     return candidates
 
 
+def _led(members: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of every member of a crowded key with the key's LEADERS: documents of the smallest hashes."""
+    seeds = [F.min(F.struct(F.xxhash64("doc", F.lit(k)).alias("h"), "doc", "span")).alias(f"l{k}") for k in range(LEADERS)]
+    chosen = members.groupBy("key").agg(*seeds)
+    chosen = chosen.select("key", F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"l{k}.doc").alias("lead"), F.col(f"l{k}.span").alias("of")) for k in range(LEADERS)]))).alias("l"))
+    chosen = stored(chosen.select("key", "l.*"), "leaders")
+    size, place = (lambda c: F.shiftright(c, 32)), (lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)))
+    n, m, i, j = size("span"), size("of"), place("span"), place("of")
+    good = F.abs(i - j) + F.abs((n - i) - (m - j)) <= may_differ(n, m, similarity)
+    rows = members.join(sized_broadcast(chosen, chosen.count()), "key").filter(good & (F.col("doc") != F.col("lead")))
+    return rows.select(F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b"))
+
+
+def _bits(column):
+    import numpy as np
+
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), PARITY_BITS // 64)
+
+
 def _crossing(similarity: float):
     """Rows sorted by (key, lo, hi) to pairs (a, b) of different components that sizes, places and parity prints allow."""
 
     def solved(table):
         import numpy as np
 
-        doc, root, n, place, mine, lo, hi = (table.column(c).to_numpy() for c in ("doc", "root", "n", "place", "mine", "lo", "hi"))
-        bits = np.frombuffer(b"".join(table.column("parity").to_pylist()), np.uint64).reshape(len(doc), PARITY_BITS // 64)
-        out = [np.zeros((0, 2), np.int64)]
-        for i in range(len(doc)):
-            rest = np.arange(i + 1, len(doc))
-            if lo[0] != hi[0]:
-                rest = rest[mine[rest] != mine[i]]
-            rest = rest[(root[rest] != root[i]) & _fits(n[rest], n[i], place[rest], place[i], similarity)]
-            rest = rest[np.bitwise_count(bits[rest] ^ bits[i]).sum(1, dtype=np.int64) <= may_differ(n[rest], n[i], similarity)]
-            out.append(np.stack([np.minimum(doc[rest], doc[i]), np.maximum(doc[rest], doc[i])], 1))
-        return np.concatenate(out)
+        doc, root, span, probe, other = (table.column(c).to_numpy() for c in ("doc", "root", "span", "probe", "other"))
+        bits = _bits(table.column("parity"))
+        n, place = span >> 32, span & 0xFFFFFFFF
+        left, right = np.flatnonzero(probe), np.flatnonzero(~probe)
+        for at in range(0, len(left), 64):
+            i = left[at : at + 64, None]
+            good = (root[i] != root[right]) & (~other[right] | (doc[i] > doc[right]))
+            good &= fits(n[i], n[right], place[i], place[right], similarity)
+            x, y = np.nonzero(good)
+            x, y = left[at + x], right[y]
+            for k in range(0, len(x), COMPARED):
+                a, b = x[k : k + COMPARED], y[k : k + COMPARED]
+                near = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64) <= may_differ(n[a], n[b], similarity)
+                yield np.stack([np.minimum(doc[a], doc[b])[near], np.maximum(doc[a], doc[b])[near]], 1)
 
     def crossing(batches):
         import numpy as np
         import pyarrow as pa
 
         def made(held):
-            pairs = solved(pa.Table.from_batches(held))
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            for pairs in solved(pa.Table.from_batches(held)):
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         held, last = [], None
         for batch in batches:
@@ -223,12 +282,12 @@ def _crossing(similarity: float):
             cuts = np.r_[0, np.flatnonzero((cell[1:] != cell[:-1]).any(1)) + 1, len(cell)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if held and tuple(cell[a]) != last:
-                    yield made(held)
+                    yield from made(held)
                     held = []
                 held.append(batch.slice(a, b - a))
                 last = tuple(cell[a])
         if held:
-            yield made(held)
+            yield from made(held)
 
     return crossing
 
@@ -254,84 +313,127 @@ def _near(similarity: float):
 
         for batch in batches:
             n, m = (batch.column(k).to_numpy() for k in (2, 3))
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(len(n), PARITY_BITS // 64) for k in (4, 5))
+            x, y = (_bits(batch.column(k)) for k in (4, 5))
             good = pa.array(np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= may_differ(n, m, similarity))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(good) for k in (0, 1)], ["a", "b"])
 
     return near
 
 
+def _needed(pairs: DataFrame) -> DataFrame:
+    return stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "needed")
+
+
+def _with(pairs: DataFrame, end: str, rows: DataFrame, names: dict) -> DataFrame:
+    """pairs joined on `end` with rows (doc, ...); a document of very many pairs is copied, so that its pairs spread."""
+    often = stored(pairs.groupBy(end).count().filter(F.col("count") > PAIRS_OF_ONE).select(F.col(end).alias("__doc"), F.ceil(F.col("count") / PAIRS_OF_ONE).cast("int").alias("__parts")), "often")
+    few = often.count()
+    rows = rows.select(F.col("doc").alias(end), *[F.col(c).alias(new) for c, new in names.items()])
+    if not few:
+        return pairs.join(rows, end)
+    often = sized_broadcast(often, few)
+    of = lambda df: df.join(often, F.col(end) == F.col("__doc"), "left").drop("__doc")
+    other = "b" if end == "a" else "a"
+    pairs = of(pairs).withColumn("__part", F.coalesce(F.pmod(F.xxhash64(other), "__parts"), F.lit(0)).cast("int")).drop("__parts")
+    rows = of(rows).withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return pairs.join(rows, [end, "__part"]).drop("__part")
+
+
 def _alike(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b), a stored table, whose shingle sets are alike."""
-    needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "needed")
+    needed = _needed(pairs)
     texts = docs.select("doc", "text").join(sized_broadcast(needed, needed.count()), "doc", "left_semi")
     sets = stored(texts.mapInArrow(_sets, "doc long, shingles array<long>"), "shingles")
-    x, y = (sets.select(F.col("doc").alias(end), F.col("shingles").alias(name)) for end, name in (("a", "x"), ("b", "y")))
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    both = _with(_with(pairs, "a", sets, {"shingles": "x"}), "b", sets, {"shingles": "y"}).select("a", "b", "x", "y")
     out = stored(both.mapInArrow(_verified(similarity), "a long, b long"), "alike")
     discard(sets, needed)
     return out
 
 
-def _crowded(members: DataFrame, sketch: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows (key, lo, hi, ...) of crowded keys with several components, each once for every pair of chunks."""
-    roots = components(edges).select(F.col("node").alias("doc"), "root")
-    labelled = stored(members.join(roots, "doc", "left").withColumn("root", F.coalesce("root", "doc")), "labelled")
-    mixed = labelled.groupBy("key").agg(F.count("*").alias("count"), F.min("root").alias("least"), F.max("root").alias("most"))
-    mixed = mixed.filter("least <> most").select("key", F.ceil(F.col("count") / CHUNK).cast("long").alias("chunks"))
-    rows = labelled.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("doc"), "chunks"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    rows = rows.join(sketch.select("doc", "parity"), "doc")
-    return rows.select("key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "doc", "root", "n", "place", "mine", "parity")
+def _close(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b), a stored table, that sizes and parity prints allow."""
+    needed = _needed(pairs)
+    rows = sketch.select("doc", "n", "parity").join(sized_broadcast(needed, needed.count()), "doc", "left_semi")
+    both = _with(_with(pairs, "a", rows, {"n": "n", "parity": "x"}), "b", rows, {"n": "m", "parity": "y"}).select("a", "b", "n", "m", "x", "y")
+    out = stored(both.mapInArrow(_near(similarity), "a long, b long"), "close")
+    discard(needed)
+    return out
 
 
-def similar(docs: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
-    """docs (doc: distinct longs, text) to edges (a, b) that join all alike pairs, directly or through others."""
-    made = _sketched(similarity, *common_shingles(docs))
-    sketch = stored(docs.select("doc", "text").mapInArrow(made, "doc long, n long, digest binary, parity binary, first array<long>"), "sketch")
+def _cells(members: DataFrame, sketch: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows (key, lo, hi, ...): for every crowded key, the documents outside of its largest component against all."""
+    roots = components(edges).select(F.col("node").alias("doc"), "root")
+    labelled = stored(members.join(roots, "doc", "left").withColumn("root", F.coalesce("root", "doc")), "labelled")
+    sizes = labelled.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("all"), F.max(F.struct("count", "root")).alias("top"))
+    chunks = lambda c: F.ceil(c / CHUNK).cast("int")
+    sizes = sizes.filter(F.col("all") > F.col("top.count"))
+    sizes = stored(sizes.select("key", F.col("top.root").alias("top"), chunks(F.col("all")).alias("los"), chunks(F.col("all") - F.col("top.count")).alias("his")), "crowds")
+    rows = labelled.join(sized_broadcast(sizes, sizes.count()), "key").join(sketch.select("doc", "parity"), "doc")
+    rows = rows.withColumn("other", F.col("root") != F.col("top"))
+    lo, hi = F.pmod(F.xxhash64("doc"), "los").cast("int"), F.pmod(F.xxhash64("doc", F.lit(1)), "his").cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["key", "lo", "hi", "doc", "root", "span", "other", "probe", "parity"]
+    held = rows.withColumns({"lo": lo, "probe": F.lit(False)}).withColumn("hi", every("his")).select(columns)
+    asking = rows.filter("other").withColumns({"hi": hi, "probe": F.lit(True)}).withColumn("lo", every("los")).select(columns)
+    return held.unionByName(asking).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
+def alike_edges(docs: DataFrame, sketch: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """docs (doc, text) and their sketches to edges (a, b) that join all alike pairs, directly or through others."""
     # documents of one set are a star around their smallest; only that one meets others
-    first = stored(sketch.groupBy("digest").agg(F.min("doc").alias("doc"), F.count("*").alias("count")), "sets")
-    stars = sketch.select("doc", "digest").join(first.filter("count > 1").select("digest", F.col("doc").alias("b")), "digest").filter("doc <> b").select(F.col("doc").alias("a"), "b")
-    again = stored(stars, "stars")
-    single = sketch.join(sized_broadcast(again.select(F.col("a").alias("doc")), again.count()), "doc", "left_anti")
-    keyed = single.select("doc", "n", F.posexplode("first").alias("place", "key")).select("key", "doc", "n", F.col("place").cast("long").alias("place"))
-    found = stored(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_candidates(similarity, hot), "key long, a long, b long, n long, place long"), "found")
-    pairs = stored(found.filter("b is not null").select("a", "b").distinct(), "pairs")
-    x, y = (sketch.select(F.col("doc").alias(end), F.col("n").alias(n), F.col("parity").alias(name)) for end, n, name in (("a", "n", "x"), ("b", "m", "y")))
-    close = pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(_near(similarity), "a long, b long")
-    edges = _alike(stored(close, "close"), docs, similarity)
-    members = found.filter("b is null").select("key", F.col("a").alias("doc"), "n", "place")
+    first = stored(sketch.groupBy("digest").agg(F.min("doc").alias("b"), F.count("*").alias("count")).filter("count > 1").select("digest", "b"), "sets")
+    again = stored(sketch.select("doc", "digest").join(sized_broadcast(first, first.count(), 100_000), "digest").filter("doc <> b").select(F.col("doc").alias("a"), "b"), "stars")
+    single = sketch.join(sized_broadcast(again.select(F.col("a").alias("doc")), again.count()), "doc", "left_anti").select("doc", "n", "first", "rare")
+    keyed = _members(single, F.lit(0), F.col("rare")).repartition("key").sortWithinPartitions("key")
+    found = stored(keyed.mapInArrow(_candidates(similarity, hot), "key long, a long, b long, span long"), "found")
+    members = found.filter("b is null").select("key", F.col("a").alias("doc"), "span")
+    members = stored(members.unionByName(_members(single, F.col("rare"), F.size("first") - F.col("rare"))), "members")
+    pairs = found.filter("b is not null").select("a", "b").unionByName(_led(members, similarity))
+    pairs = stored(pairs.distinct(), "pairs")
+    close = _close(pairs, sketch, similarity)
+    edges = _alike(close, docs, similarity)
+    discard(first, found, pairs, close)
     if members.limit(1).count():
-        cells = _crowded(members, sketch, edges)
-        cells = cells.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-        crossing = stored(cells.mapInArrow(_crossing(similarity), "a long, b long").distinct(), "crossing")
+        crossing = stored(_cells(members, sketch, edges).mapInArrow(_crossing(similarity), "a long, b long").distinct(), "crossing")
         edges = edges.unionByName(_alike(crossing, docs, similarity))
-    discard(sketch, found)
+        discard(crossing)
+    discard(members)
     return edges.unionByName(again)
 
 
+def similar(docs: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """docs (doc: distinct longs, text) to edges (a, b) that join all alike pairs, directly or through others."""
+    return alike_edges(docs, sketches(docs, similarity), similarity, hot)
+
+
+def print_edges(sketch: DataFrame) -> DataFrame:
+    """Edges (a, b) that join all documents whose SimHash prints are linked."""
+    # rows of one print are a star around their smallest row; other links run between the stars' centres
+    first = stored(sketch.groupBy("print").agg(F.min("doc").alias("first"), F.count("*").alias("count")), "first")
+    many = first.filter("count > 1")
+    stars = sketch.select("doc", "print").join(sized_broadcast(many.select("print", "first"), many.count()), "print").filter("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
+    between = stored(links(first.select("print")), "print-links")
+    x, y = (first.select(F.col("print").alias(end), F.col("first").alias(name)) for end, name in (("a", "x"), ("b", "y")))
+    return stars.unionByName(between.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """docs with one document of each group: linked by SimHash (two of 64 bits) or by likeness; columns as before."""
+    own, row, gone = docs.columns, *fresh(docs, "row", "gone")
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     ids = slim.agg(F.count("*"), F.count("doc_id"), F.countDistinct("doc_id")).first()
     if len(set(ids)) > 1:  # ids that are null or stand in several rows: a key for each row, on rows that stay as they are
-        docs = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-        slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), F.col("__row").alias("doc"))
+        docs = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+        slim, key = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), F.col(row).alias("doc")), F.col(row)
     else:
-        slim = slim.withColumn("doc", F.col("doc_id"))
-    rows = stored(prints(slim, "doc", "text").withColumnRenamed("doc_id", "doc"), "prints")
-    # rows of one fingerprint are a star around their smallest row; other links run between the stars' centres
-    first = stored(rows.groupBy("print").agg(F.min("doc").alias("first")), "first")
-    stars = rows.join(first, "print").filter("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
-    between = links(first.select("print"))
-    ends = between.join(first.select(F.col("print").alias("a"), F.col("first").alias("x")), "a").join(first.select(F.col("print").alias("b"), F.col("first").alias("y")), "b")
-    edges = stars.unionByName(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).unionByName(similar(slim, similarity))
-    groups = components(stored(edges, "edges"))
+        slim, key = slim.withColumn("doc", F.col("doc_id")), F.col(id_col).cast("long")
+    sketch = sketches(slim, similarity)
+    edges = stored(print_edges(sketch).unionByName(alike_edges(slim, sketch, similarity)), "links")
+    groups = components(edges)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "doc")
     ranked = slim.select("doc", "doc_id").join(groups.select(F.col("node").alias("doc"), "root"), "doc")
     ranked = stored(ranked.select("doc", "root", order.alias("o")), "ranked")
     stays = ranked.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.doc").alias("doc"))
-    lost = stored(ranked.select(F.col("doc").alias("__lost")).join(stays.select(F.col("doc").alias("__lost")), "__lost", "left_anti"), "near-lost")
-    key = F.col("__row") if "__row" in docs.columns else F.col(id_col).cast("long")
-    out = docs.join(sized_broadcast(lost, lost.count()), key == F.col("__lost"), "left_anti")
-    return out.drop("__row")
+    lost = stored(ranked.select(F.col("doc").alias(gone)).join(stays.select(F.col("doc").alias(gone)), gone, "left_anti"), "near-lost")
+    discard(sketch, edges, ranked)
+    return docs.join(sized_broadcast(lost, lost.count()), key == F.col(gone), "left_anti").select(*own)

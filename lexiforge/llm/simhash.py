@@ -19,7 +19,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import arrow_texts, read_table, sized_broadcast, stored
+from lexiforge.llm._shared import arrow_texts, discard, read_table, sized_broadcast, stored
 
 BUDGET, SHINGLE, SEED = 2, 3, 42
 HOT = 4096
@@ -179,22 +179,28 @@ def components(edges: DataFrame) -> DataFrame:
     while edges.limit(1).count():
         turn += 1
         hook = edges.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root"))
-        while True:  # halve the ways to the roots
-            hook = stored(hook, f"hooks-{turn}")
+        hook, moved = stored(hook, f"hooks-{turn}"), True
+        while moved:  # halve the ways to the roots
             up = hook.select(F.col("node").alias("root"), F.col("root").alias("top"))
             jumped = hook.join(up, "root").select("node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved"))
             jumped = stored(jumped, f"jumps-{turn}")
-            hook = jumped.drop("moved")
-            if not jumped.filter("moved").limit(1).count():
-                break
+            moved = jumped.filter("moved").limit(1).count()
+            discard(hook)
+            hook = jumped
         if found is None:
-            found = hook
+            found = hook.select("node", "root")
+            found.lexiforge_path = hook.lexiforge_path
         else:
             up = hook.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            found = stored(found.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")), f"roots-{turn}")
+            before, found = found, stored(found.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")), f"roots-{turn}")
+            discard(before)
+        before = edges
         for end in ("a", "b"):
             edges = edges.join(hook.select(F.col("node").alias(end), F.col("root").alias("__root")), end).drop(end).withColumnRenamed("__root", end)
         edges = stored(edges.select("a", "b").filter("a <> b").distinct(), f"edges-{turn}")
+        discard(before)
+        if turn > 1:
+            discard(hook)
     return found if found is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
