@@ -3,7 +3,7 @@
 import random
 
 WORDS = "the of lorem ipsum dolor amet nulla tempor magna aliqua über straße café naïve 東京 data model token merge sort".split()
-CLASHING = "n int, run long, size string, print string, node int, digest string, kept string, target int, doc long, bucket int, copies int, score string, start int, offset int, host string, file string"
+CLASHING = "n int, run long, size string, print string, node int, digest string, kept string, target int, doc long, bucket int, copies int, score string, start int, offset int, host string, file string, __row int, __text string, __id int, __size int, __copies string, __times int, __lost string, __any string, row string, `key` string, times string, gone string"
 
 
 def text(rng, n):
@@ -17,7 +17,7 @@ def text(rng, n):
 def documents(spark, rows=None):
     """(doc_id, text, lang, source, n_chars) with columns whose names clash with those that operators use inside."""
     rows = rows if rows is not None else odd_rows()
-    extra = (1, 2, "s", "p", 3, "d", "k", 4, 5, 6, 7, "c", 8, 9, "h", "f")
+    extra = (1, 2, "s", "p", 3, "d", "k", 4, 5, 6, 7, "c", 8, 9, "h", "f", 1, "t", 2, 3, "c", 4, "l", "a", "r", "k", "t", "g")
     return spark.createDataFrame([(*r, *extra) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}")
 
 
