@@ -10,7 +10,8 @@ A digest is SHA-256 with the byte length and an independent XXH64 of the same te
 agree, on every level.
 
 Defined results: null text counts as empty; a null doc_id sorts after all others; of repeated rows (same doc_id and text)
-exactly one is kept; an empty table gives an empty result; other columns are ignored.
+exactly one is kept; texts of any length count whole; an empty table gives an empty result; other columns are ignored,
+whatever their names (drop_copies carries them along).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import WS, read_table, sized_broadcast, stored, text_or_empty
+from lexiforge.llm._shared import WS, fresh, read_table, sized_broadcast, stored, text_or_empty
 
 FAN_IN = 8
 DIGEST = ["digest", "check", "n_bytes"]
@@ -63,17 +64,24 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without all but the first row of each group of equal texts; columns as before."""
+    """docs without all but the first row of each group of equal texts; columns as before.
+
+    The first is the one with the smallest doc_id (null last); of rows with that doc_id and equal texts the one whose other
+    columns come first in their order, so that reruns agree (of rows that agree in all columns any is that row).
+    """
+    own, key, sha, mark, text, rank = docs.columns, *fresh(docs, "key", "sha", "mark", "norm", "rank")
     found = stored(copies(docs, id_col, text_col), "copies")
     keys = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("any"), F.count("*").alias("times"))
     keys = stored(keys.filter("times > 1 or not any"), "copy-keys")
-    sha = F.sha2(F.regexp_replace(text_or_empty(text_col), WS + "+", " "), 256)
-    marks = sized_broadcast(keys.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("any").alias("__any")), keys.count(), 100_000)
-    tagged = docs.withColumn("__text", sha).join(marks, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__sha")), "left")
-    out = tagged.filter("__any is null")
-    if keys.filter("any").limit(1).count():  # rows that stand in the table more than once
-        out = out.unionByName(tagged.filter("__any").dropDuplicates([id_col, "__text"]))
-    return out.select(*docs.columns)
+    digest = F.sha2(F.regexp_replace(text_or_empty(text_col), WS + "+", " "), 256)
+    marks = sized_broadcast(keys.select(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha), F.col("any").alias(mark)), keys.count(), 100_000)
+    tagged = docs.withColumn(text, digest).join(marks, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(text) == F.col(sha)), "left")
+    out = tagged.filter(F.col(mark).isNull()).select(*own)
+    if keys.filter("any").limit(1).count():  # rows that stand in the table more than once: the least by all their columns
+        again = tagged.filter(F.col(mark)).withColumn(rank, F.to_json(F.struct(*own)))
+        least = again.groupBy(id_col, text).agg(F.min_by(F.struct(*own), F.col(rank)).alias(rank))
+        out = out.unionByName(least.select(f"{rank}.*"))
+    return out.select(*own)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

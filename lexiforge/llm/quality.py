@@ -8,7 +8,9 @@ inverse factors, made a probability by a logistic fit on the same rows.  Every r
 
 Defined results: null text counts as empty and is scored like any other; labels with null quality are left out, several
 labels of one document count by their mean; without labels of both classes every score is the share of label 1 (no labels:
-0.5); a null doc_id is never a training row and counts as not held out; an empty table gives an empty result.
+0.5); a null doc_id is never a training row and counts as not held out; training rows are taken and sorted by (hash of doc_id,
+doc_id, statistics), so that ties and repeated rows don't matter; texts of any length are read whole; other columns, whatever
+their names, are ignored (keep_good carries them along); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import arrow_texts, read_table, sized_broadcast, stored
+from lexiforge.llm._shared import arrow_texts, fresh, read_table, sized_broadcast, stored
 
 #: Labelled rows that the fit takes at most.
 TRAIN_ROWS = 20_000
@@ -137,10 +139,11 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those whose score is below the threshold; columns as before."""
+    (key,) = fresh(docs, "key")
     found = stored(quality(docs, labels, id_col, text_col), "scores")
     # an id that stands in several rows goes only if each of its rows is rejected
-    bad = stored(found.groupBy(F.col("doc_id").alias("__id")).agg(F.max("predicted").alias("p")).filter("p = 0").select("__id"), "rejected")
-    return docs.join(sized_broadcast(bad, bad.count()), F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    bad = stored(found.groupBy(F.col("doc_id").alias(key)).agg(F.max("predicted").alias("p")).filter("p = 0").select(key), "rejected")
+    return docs.join(sized_broadcast(bad, bad.count()), F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,15 @@ def test_drop_copies_keeps_one_row_of_each_group(spark):
     assert len(texts) == len(set(texts)) == len({normal(r[1]) for r in odd_rows()})
 
 
+def test_columns_of_any_name_and_reruns(spark):
+    rows = [(1, "a b", "p"), (1, "a  b", "q"), (1, "a b", "q"), (2, "a b", "r"), (3, "c", "s"), (None, "c", "t")]
+    docs = spark.createDataFrame([(*r, k, "x", None) for k, r in enumerate(rows)], "doc_id long, text string, source string, __text int, __id string, norm int")
+    for parts in (1, 5):
+        left = drop_copies(docs.repartition(parts, "source"))
+        assert left.columns == docs.columns
+        assert sorted(tuple(r) for r in left.collect()) == [(1, "a  b", "q", 1, "x", None), (3, "c", "s", 4, "x", None)]
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert copies(docs).count() == 0 and drop_copies(docs).count() == 0
