@@ -4,15 +4,21 @@ Writing: each task streams its rows into files of at most FILE_RECORDS records i
 member; a file is moved to its final name only when whole, so that a task that runs again leaves no half file.  Of records
 with equal payloads the one with the largest page_id is a response, others revisit it; small payloads are always responses.
 
-Reading: tasks stream the files record by record and yield, per file, a locally sorted capture run.
+Reading: tasks stream the files record by record; the captures of a file, at most FILE_RECORDS, are sorted and written as a run
+into the shared folder, in blocks of BLOCK_ROWS whose first keys are returned.
 
-Index merge: runs are cut by splitters over (url key, timestamp, page_id), so that even one url key with a third of all
-captures spreads over many tasks; each task merges the parts of its runs with a loser tree, which gives globally ordered
-capture histories (partition by partition, in order).
+Index merge: an external k-way merge.  While there are more than FAN_IN runs, groups of FAN_IN become one longer run each.  The
+last round is cut by splitters over (url key, timestamp, page_id, file, offset), taken from a bounded sample of the blocks'
+first keys, so that even one url key with a third of all captures spreads over many tasks; a task opens its part of every run
+and plays a loser tree over them with one block of each in memory.  The result is in global order, partition by partition.
+
+Recovery: a run's name holds the attempt that wrote it, and only the names of attempts that count are returned; an archive is
+renamed when whole, over one that an earlier attempt of the same task may have left.
 
 Defined results: null html is an empty payload; a null url is written as an empty target; a null page_id sorts after all
-others and is never the response of a group that has another; repeated rows are captures each; an empty table gives an
-empty result.
+others and is never the response of a group that has another; payloads of any length are written whole; ties of url key and
+timestamp go by page_id, then by place in the archives; repeated rows are captures each; an empty table gives an empty result;
+other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -21,11 +27,16 @@ import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexiforge.llm._shared import read_table, sized_broadcast, stored, work_path
 
 LEAST_BYTES, FILE_RECORDS = 1000, 20_000
+#: Runs that one merge opens, rows of a block, rows that a part of the last merge should have, and its parts at most.
+FAN_IN, BLOCK_ROWS, PART_ROWS, PARTS = 1024, 250, 20_000, 10_000
+#: Sampled first keys for every part.
+KEYS_OF_PART = 20
 EPOCH = 1_577_836_800  # 2020-01-01: a page's capture time is this plus page_id seconds, for tables without one
 
 
@@ -72,7 +83,11 @@ def _write(folder: str):
 
         def close():
             out.close()
-            store.move(f"{name}.{task.taskAttemptId()}", name)
+            try:
+                store.move(f"{name}.{task.taskAttemptId()}", name)
+            except OSError:  # some stores don't rename over what an earlier attempt left
+                store.delete_file(name)
+                store.move(f"{name}.{task.taskAttemptId()}", name)
             done.append((name, count))
 
         for batch in batches:
@@ -117,19 +132,75 @@ def read_records(stream) -> Iterator[tuple[int, int, dict, bytes]]:
 
 
 CAPTURE = "url_key string, stamp string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, file string, offset long, length long"
+#: A block of a run: where it is, how many rows it has, and the sort key of its first row.
+BLOCK = "run string, block int, rows int, url_key string, stamp string, no_id boolean, page_id long, file string, offset long"
+KEY = ["url_key", "stamp", "no_id", "page_id", "file", "offset"]
+
+
+def _schema(ddl: str):
+    import pyarrow as pa
+
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    return pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in ddl.split(", ")])
+
+
+def _batch(rows: list[tuple], ddl: str):
+    import pyarrow as pa
+
+    schema = _schema(ddl)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
+
+
+def _order(row: tuple) -> tuple:
+    return row[0], row[1], row[2] is None, row[2] or 0, row[8], row[9]
+
+
+def _store(folder: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)[0] if "://" in folder or folder.startswith("file:") else fs.LocalFileSystem()
+
+
+def _path(uri: str) -> str:
+    """The path that the store of a uri takes."""
+    scheme, host, path = re.match(r"^(?:([a-z0-9]+):(?://([^/]*))?)?(.*)$", uri).groups()
+    return path if scheme in (None, "file", "hdfs", "viewfs") else f"{host}{path}"
+
+
+def _write_run(store, path: str, rows: Iterator[tuple]) -> list[tuple]:
+    """Writes sorted captures block by block; returns BLOCK rows."""
+    from itertools import islice
+
+    import pyarrow as pa
+
+    blocks = []
+    with store.open_output_stream(path, compression=None) as out, pa.ipc.new_file(out, _schema(CAPTURE), options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+        while block := list(islice(rows, BLOCK_ROWS)):
+            writer.write_batch(_batch(block, CAPTURE))
+            blocks.append((path, len(blocks), len(block), *_order(block[0])))
+    return blocks
+
+
+def _read_run(store, path: str, first: int, last: int) -> Iterator[tuple]:
+    """The captures of the blocks first..last of a run; one block is held."""
+    import pyarrow as pa
+
+    with store.open_input_file(path) as file:
+        reader = pa.ipc.open_file(file)
+        for k in range(first, last + 1):
+            yield from zip(*(c.to_pylist() for c in reader.get_batch(k).columns), strict=True)
+
 
+def _captures(folder: str, root: str):
+    """Archive files to sorted runs in the folder `root`; yields BLOCK rows."""
 
-def _read(folder: str):
     def read(batches):
         import base64
         import hashlib
 
-        import pyarrow as pa
-        from pyarrow import fs
+        from pyspark import TaskContext
 
-        names = [x.split()[0] for x in CAPTURE.split(", ")]
-        kinds = [pa.int64() if x.endswith(" long") else pa.string() for x in CAPTURE.split(", ")]
-        store = fs.FileSystem.from_uri(folder)[0] if "://" in folder or folder.startswith("file:") else fs.LocalFileSystem()
+        store, task, n = _store(folder), TaskContext.get(), 0
         number = lambda x: None if x == "<urn:page:null>" else int(x[10:-1])
         for batch in batches:
             for file in batch.column(0).to_pylist():
@@ -145,27 +216,34 @@ def _read(folder: str):
                         url = head["WARC-Target-URI"]
                         run.append((url_key(url), head["WARC-Date"], number(head["WARC-Record-ID"]), url, size, digest, head["WARC-Type"], other and number(other), file, offset, length))
                 run.sort(key=_order)
-                for k in range(0, len(run), 5000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*run[k : k + 5000], strict=True), kinds, strict=True)], names)
+                n += 1
+                yield _batch(_write_run(store, f"{root}/run-0-{task.partitionId()}-{task.taskAttemptId()}-{n}", iter(run)), BLOCK)
 
     return read
 
 
-def _order(row: tuple) -> tuple:
-    return row[0], row[1], row[2] is None, row[2] or 0, row[8], row[9]
-
+def loser_tree(runs: list[Iterator], key) -> Iterator:
+    """Merges sorted runs: inner nodes hold the losers, and a new head plays only on its way to the root.
 
-def loser_tree(runs: list[list], key) -> Iterator:
-    """Merges sorted runs: inner nodes hold the losers, and a new head plays only on its way to the root."""
+    Of a run only its next row is held here.
+    """
+    runs = [iter(r) for r in runs]
     k = len(runs)
     if k < 2:
         yield from (runs[0] if k else ())
         return
-    at = [0] * k
     end = (1,)
-    head = [(0, key(r[0])) if r else end for r in runs]
+    rows = [None] * k
+    head: list[tuple] = [end] * k
     losers = [-1] * k
 
+    def advance(run: int) -> None:
+        try:
+            rows[run] = next(runs[run])
+            head[run] = (0, key(rows[run]))
+        except StopIteration:
+            rows[run], head[run] = None, end
+
     def play(run: int) -> int:
         node = (run + k) // 2
         while node:
@@ -180,33 +258,73 @@ def loser_tree(runs: list[list], key) -> Iterator:
 
     winner = -1
     for run in range(k):
+        advance(run)
         winner = max(winner, play(run))
     while head[winner] != end:
-        yield runs[winner][at[winner]]
-        at[winner] += 1
-        head[winner] = (0, key(runs[winner][at[winner]])) if at[winner] < len(runs[winner]) else end
+        yield rows[winner]
+        advance(winner)
         winner = play(winner)
 
 
-def _merge(batches):
-    import pyarrow as pa
+def _merged(store, parts: list[tuple], low, high) -> Iterator[tuple]:
+    """The captures of the run parts (run, first block, last block) with low <= key < high, in order."""
+    inside = lambda run: (r for r in run if (low is None or _order(r) >= low) and (high is None or _order(r) < high))
+    return loser_tree([inside(_read_run(store, *p)) for p in parts], _order)
+
+
+def _join_runs(folder: str, root: str, turn: int):
+    """Rows (node, run, blocks) sorted by node: each node's runs become one; yields BLOCK rows."""
+
+    def join(batches):
+        from itertools import groupby
+
+        from pyspark import TaskContext
+
+        store, task = _store(folder), TaskContext.get()
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for node, own in groupby(rows, key=lambda r: r[0]):
+            merged = _merged(store, [(run, 0, blocks - 1) for _, run, blocks in own], None, None)
+            yield _batch(_write_run(store, f"{root}/run-{turn}-{node}-{task.taskAttemptId()}", merged), BLOCK)
 
-    runs: dict[str, list] = {}
-    schema = None
-    for batch in batches:
-        schema = batch.schema
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            runs.setdefault(row[8], []).append(row)
-    for run in runs.values():  # what a shuffle brings of a run is nearly in order
-        run.sort(key=_order)
-    held = []
-    for row in loser_tree(list(runs.values()), _order):
-        held.append(row)
-        if len(held) == 5000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+    return join
+
+
+def _dealt(splitters: list[tuple]):
+    """BLOCK rows with `next` (the first key of the run's next block, or null) to (part, run, block)."""
+
+    def dealt(batches):
+        from bisect import bisect_left, bisect_right
+
+        import pyarrow as pa
+
+        for batch in batches:
+            cols = {name: batch.column(k).to_pylist() for k, name in enumerate(batch.schema.names)}
+            out = []
+            for k in range(batch.num_rows):
+                low = bisect_right(splitters, tuple(cols[c][k] for c in KEY))
+                after = cols["next"][k]
+                high = len(splitters) if after is None else bisect_left(splitters, tuple(after[c] for c in KEY))
+                out += [(part, cols["run"][k], cols["block"][k]) for part in range(low, high + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 3, (pa.int32(), pa.string(), pa.int32()), strict=True)], ["part", "run", "block"])
+
+    return dealt
+
+
+def _merge(folder: str, splitters: list[tuple]):
+    """Rows (part, run, first, last) sorted by part to the captures of the parts, in order."""
+
+    def merge(batches):
+        from itertools import groupby, islice
+
+        store = _store(folder)
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for part, own in groupby(rows, key=lambda r: r[0]):
+            low, high = splitters[part - 1] if part else None, splitters[part] if part < len(splitters) else None
+            merged = _merged(store, [r[1:] for r in own], low, high)
+            while block := list(islice(merged, 5000)):
+                yield _batch(block, CAPTURE)
+
+    return merge
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -222,10 +340,34 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 
 def merged_index(files: DataFrame, folder: str) -> DataFrame:
-    """The captures of the archives in global order of (url_key, stamp, page_id)."""
-    runs = files.select("file").repartition("file").mapInArrow(_read(folder), CAPTURE)
-    runs = stored(runs, "captures")
-    return runs.repartitionByRange(F.col("url_key"), F.col("stamp"), F.col("page_id").asc_nulls_last(), F.col("file"), F.col("offset")).mapInArrow(_merge, CAPTURE)
+    """The captures of the archives in global order of (url_key, stamp, page_id); files: (file, records)."""
+    spark = files.sparkSession
+    root = work_path(spark, "runs")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    root = _path(root)
+    size = files.agg(F.count("*").alias("n"), F.sum("records").alias("records")).first()
+    if not size["n"]:
+        return spark.createDataFrame([], CAPTURE)
+    # a task for each file, as long as those are few; a number that is asked for is not coalesced
+    blocks = stored(files.select("file").repartition(min(size["n"], PARTS)).mapInArrow(_captures(folder, root), BLOCK), "blocks")
+    runs, turn = size["n"], 0
+    while runs > FAN_IN:
+        turn += 1
+        own = blocks.groupBy("run").agg(F.count("*").cast("int").alias("blocks"), F.min("url_key").alias("k"))
+        nodes = -(-runs // FAN_IN)
+        own = own.select(F.pmod(F.xxhash64("run"), F.lit(nodes)).cast("int").alias("node"), "run", "blocks")
+        joined = own.repartition(min(nodes, PARTS), "node").sortWithinPartitions("node", "run").mapInArrow(_join_runs(folder, root, turn), BLOCK)
+        blocks, runs = stored(joined, f"blocks-{turn}"), nodes
+    parts = min(PARTS, max(1, -(-size["records"] // PART_ROWS)))
+    share = max(1, size["records"] // BLOCK_ROWS // (KEYS_OF_PART * parts))
+    keys = blocks.filter(F.pmod(F.xxhash64("run", "block"), F.lit(share)) == 0).select(KEY).sort(KEY).limit(4 * KEYS_OF_PART * parts + 1000).collect()
+    keys = [tuple(r) for r in keys]
+    splitters = sorted({keys[k * len(keys) // parts] for k in range(1, parts)}) if keys else []
+    after = F.lead(F.struct(*KEY)).over(W.partitionBy("run").orderBy("block"))
+    dealt = blocks.withColumn("next", after).select(*KEY, "run", "block", "next").mapInArrow(_dealt(splitters), "part int, run string, block int")
+    dealt = stored(dealt.groupBy("part", "run").agg(F.min("block").alias("first"), F.max("block").alias("last")), "parts")
+    return dealt.repartitionByRange(parts, "part").sortWithinPartitions("part", "run").mapInArrow(_merge(folder, splitters), CAPTURE)
 
 
 def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -16,10 +16,12 @@ def pages():
     return [*rows, (60, "http://long.org/", "z" * 2_000_000, "f", 1), (3, "http://www.Site0.org/p3", big, "f", 1)]
 
 
-def test_round_trip(spark, monkeypatch):
-    monkeypatch.setattr(M, "FILE_RECORDS", 7)
+@pytest.mark.parametrize("limits", [{"FILE_RECORDS": 7}, {"FILE_RECORDS": 5, "FAN_IN": 3, "BLOCK_ROWS": 2, "PART_ROWS": 6}])
+def test_round_trip(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(M, name, value)
     rows = pages()
-    df = spark.createDataFrame(rows, "page_id long, url string, html string, file string, length int").repartition(4)
+    df = spark.createDataFrame([(*r, "a", 1, "b") for r in rows], "page_id long, url string, html string, file string, length int, part string, run int, digest string").repartition(4)
     got = M.archive(df).collect()
     assert len(got) == len(rows)
     groups = {}
@@ -43,7 +45,30 @@ def test_loser_tree():
     rng = random.Random(3)
     for k in (0, 1, 2, 3, 5, 8, 17):
         runs = [sorted((rng.randrange(20), r, i) for i in range(rng.randrange(12))) for r in range(k)]
-        assert list(M.loser_tree(runs, lambda x: x)) == sorted(x for r in runs for x in r)
+        assert list(M.loser_tree(list(map(iter, runs)), lambda x: x)) == sorted(x for r in runs for x in r)
+
+
+def test_files_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(M, "FILE_RECORDS", 5)
+    df = spark.createDataFrame([(k, f"http://s{k}.org/", "x" * 50) for k in range(60)], "page_id long, url string, html string").repartition(3)
+    folder, names = M.work_path(spark, "many"), []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    files, stored = M.write_archives(df, folder), M.stored
+
+    def watched(table, name):
+        out = stored(table, name)
+        names.extend(r.run for r in out.select("run").distinct().collect() if name == "blocks")
+        return out
+
+    monkeypatch.setattr(M, "stored", watched)
+    assert M.merged_index(files, folder).count() == 60 and len(names) == files.count() >= 12
+    tasks = {n.rsplit("/", 1)[1].split("-")[2] for n in names}
+    assert len(tasks) > 4
+
+
+def test_paths():
+    assert M._path("file:/a/b") == M._path("file:///a/b") == M._path("/a/b") == M._path("hdfs://n:1/a/b") == "/a/b" and M._path("s3://c/a") == "c/a"
 
 
 def test_url_key():
