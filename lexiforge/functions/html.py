@@ -12,6 +12,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiforge.functions.text import EXPORT_NOISE, WORD_SIGN
+
+# Elements that hold no text, those that make paragraphs, and those without an end.
 SKIPPED = frozenset({"style", "script", "svg", "head", "title"})
 BLOCKS = frozenset({"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "li"})
 VOID = frozenset({"br", "img", "hr", "meta", "link", "input", "wbr", "col", "area", "base", "embed", "source", "track"})
@@ -124,11 +127,11 @@ def _clean(text: str) -> str:
     return " ".join(text.split())
 
 
-_NOISE = re.compile(r"FullName|mso-|MsoNormal|st1:|\d{4}-\d{2}-\d{2}T\d{2}:|false false|behavior:url", re.IGNORECASE)
+_NOISE, _SIGN = re.compile(EXPORT_NOISE), re.compile(WORD_SIGN.removeprefix("(?U)"))
 
 
 def junk(text: str) -> bool:
-    return len(text) < 2 or bool(_NOISE.search(text)) or not re.search(r"[\w฀-๿぀-ヿ㐀-鿿가-힯]", text)
+    return len(text) < 2 or bool(_NOISE.search(text)) or not _SIGN.search(text)
 
 
 def paragraphs_of(root: Node) -> list[dict]:
@@ -152,11 +155,19 @@ def title_of(root: Node) -> str | None:
     return None
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("annot", T.StringType())])))
-def paragraphs(html: pd.Series) -> pd.Series:
-    return html.map(lambda x: paragraphs_of(parse(x)))
+_PARAS = T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("annot", T.StringType())]))
+
+
+@F.pandas_udf(T.StructType([T.StructField("title", T.StringType()), T.StructField("paras", _PARAS)]))
+def document(html: pd.Series) -> pd.DataFrame:
+    """Title and paragraphs from one parse."""
+    roots = map(parse, html)
+    return pd.DataFrame([(title_of(r), paragraphs_of(r)) for r in roots], columns=["title", "paras"])
+
+
+def paragraphs(html) -> F.Column:
+    return document(html)["paras"]
 
 
-@F.pandas_udf(T.StringType())
-def chapter_title(html: pd.Series) -> pd.Series:
-    return html.map(lambda x: title_of(parse(x)))
+def chapter_title(html) -> F.Column:
+    return document(html)["title"]

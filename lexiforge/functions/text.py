@@ -14,7 +14,9 @@ IGNORED = r"(?U)[\s、。，．！？!?…・「」『』()（）\-—]+"
 ZERO_WIDTH = "​‌‍﻿⁠"
 #: Fixed value: remains of word-processor exports.
 EXPORT_NOISE = r"(?i)(FullName|mso-|MsoNormal|st1:|\d{4}-\d{2}-\d{2}T\d{2}:|false false|behavior:url)"
+#: Fixed value: what makes a line worth keeping: a word sign of any script that the corpus has.
 WORD_SIGN = r"(?U)[\w฀-๿぀-ヿ㐀-鿿가-힯]"
+#: Ideographs, and base[reading].
 HAN = r"[一-鿿]"
 ANNOTATED = r"([^\[\]]+)(?:\[([^\[\]]+)\])?"
 
@@ -87,8 +89,14 @@ def parse_annot(annot: Column) -> Column:
     return F.zip_with(bases, reads, lambda b, r: F.struct(b.alias("base"), F.coalesce(r, F.lit("")).alias("read")))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluates value once and hands it to body; a plain column could be inlined into a lambda and run per element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def display_ruby(annot: Column) -> Column:
     """array<struct<base, read>> as shown: a base is a run of ideographs only."""
+    # fixed value: base[reading], else a run without a reading
     pattern = r"([㐀-鿿豈-﫿々〆ヶ]+)\[([^\[\]]+)\]|([^\[\]㐀-鿿豈-﫿々〆ヶ]+|[㐀-鿿豈-﫿々〆ヶ]+(?!\[))"
     whole, base, read = (F.regexp_extract_all(annot, F.lit(pattern), F.lit(k)) for k in (0, 1, 2))
     three = F.arrays_zip(whole.alias("w"), base.alias("b"), read.alias("r"))

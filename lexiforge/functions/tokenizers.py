@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import importlib
 import importlib.util
+import re
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiforge.functions.text import clean_token, pos_class_ja, pos_class_ko
+from lexiforge.functions.text import ANNOTATED, clean_token, pos_class_ja, pos_class_ko
 
 NOT_WORD = r"[^\p{L}\p{M}\p{N}]+"
 TOKENS = "array<struct<s:string,b:string,r:string,p:string,rs:string>>"
@@ -30,25 +33,28 @@ def token_source(language: Column, text: Column, annot: Column) -> Column:
     return F.when((language == "ja") & (F.coalesce(annot, F.lit("")) != ""), annot).otherwise(text)
 
 
-def _fugashi(text: str) -> list[dict]:
-    import re
+@cache
+def _held(module: str, name: str):
+    """One analyser a worker process: loading its dictionary takes longer than most texts."""
+    return getattr(importlib.import_module(module), name)()
 
-    import fugashi
 
-    tagger, out = fugashi.Tagger(), []
-    for base, read in re.findall(r"([^\[\]]+)(?:\[([^\[\]]+)\])?", text):
-        found = list(tagger(base))
-        own = bool(read) and len(found) == 1
-        for w in found:
-            f = w.feature
-            out.append({"s": w.surface, "b": f.lemma or w.surface, "r": read if own else f.pron or "", "p": f.pos1, "rs": "book" if own else "dict" if read else None})
-    return out
+def _japanese(text: str) -> list[dict]:
+    """Words by analyser; where the text gives a reading to what is one word, that reading is the book's own."""
+    analyse = _held("fugashi", "Tagger")
 
+    def word(found, given, alone):
+        tags = found.feature
+        reading, source = (given, "book") if given and alone else (tags.pron or "", "dict" if given else None)
+        return {"s": found.surface, "b": tags.lemma or found.surface, "r": reading, "p": tags.pos1, "rs": source}
 
-def _kiwi(text: str) -> list[dict]:
-    from kiwipiepy import Kiwi
+    parts = ((list(analyse(m[1])), m[2]) for m in re.finditer(ANNOTATED, text))
+    return [word(w, given, len(words) == 1) for words, given in parts for w in words]
 
-    return [{"s": t.form.strip(), "b": t.lemma or t.form.strip(), "r": None, "p": t.tag, "rs": None} for t in Kiwi().tokenize(text) if t.form.strip()]
+
+def _korean(text: str) -> list[dict]:
+    forms = ((t.form.strip(), t) for t in _held("kiwipiepy", "Kiwi").tokenize(text))
+    return [{"s": form, "b": t.lemma or form, "r": None, "p": t.tag, "rs": None} for form, t in forms if form]
 
 
 def _newmm(text: str) -> list[dict]:
@@ -65,7 +71,7 @@ def _underthesea(text: str) -> list[dict]:
 
 #: language -> (module, tokenizer of one text, class of its tags)
 LIBRARIES: dict[str, tuple[str, Callable[[str], list[dict]], Callable[[Column], Column] | None]] = {
-    "ja": ("fugashi", _fugashi, pos_class_ja), "ko": ("kiwipiepy", _kiwi, pos_class_ko), "th": ("pythainlp", _newmm, None), "vi": ("underthesea", _underthesea, None),
+    "ja": ("fugashi", _japanese, pos_class_ja), "ko": ("kiwipiepy", _korean, pos_class_ko), "th": ("pythainlp", _newmm, None), "vi": ("underthesea", _underthesea, None),
 }
 
 

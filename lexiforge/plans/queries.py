@@ -486,8 +486,8 @@ def extract_json(spark, sf_dir):
 
 @query()
 def paragraphs(spark, sf_dir):
-    rows = read(spark, sf_dir, "pages").select("page_id", H.chapter_title("html").alias("title"), F.posexplode(H.paragraphs("html")).alias("para_idx", "p"))
-    return rows.select("page_id", "title", "para_idx", "p.text", "p.annot")
+    rows = read(spark, sf_dir, "pages").select("page_id", H.document("html").alias("d"))
+    return rows.select("page_id", "d.title", F.posexplode("d.paras").alias("para_idx", "p")).select("page_id", "title", "para_idx", "p.text", "p.annot")
 
 
 @query(r"SELECT term, doc_id AS id, count(*) AS tf FROM (SELECT doc_id, lower(unnest(list_filter(string_split_regex(text, '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> ''))) AS term FROM documents) GROUP BY ALL")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiforge import schemas
+from lexiforge.functions.decode import decoded
 from lexiforge.functions.html import paragraphs_of, parse, title_of
 
 LANGUAGE_ORDER = {lang: k for k, lang in enumerate(schemas.LANGUAGES)}
@@ -21,22 +22,13 @@ NOT_CHAPTERS = ("nav", "toc", "cover", "contents", "ads")
 
 
 def scan_corpus(spark: SparkSession, root: str, language: str | None = None) -> DataFrame:
-    """(lang, path, sha256, content) of root/<lang>/*.epub in language and path order."""
+    """(lang, path, sha256, content, lang_ord) of root/<lang>/*.epub; their order is (lang_ord, path), contents aren't sorted."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").option("recursiveFileLookup", "true").load(root)
     lang = F.regexp_extract("path", r"/([^/]+)/[^/]+\.epub$", 1)
     order = F.create_map(*[F.lit(x) for pair in LANGUAGE_ORDER.items() for x in pair])
     rows = files.select(lang.alias("lang"), "path", F.sha2("content", 256).alias("sha256"), "content")
     rows = rows.filter(F.col("lang").isin(*([language] if language else schemas.LANGUAGES)))
-    return rows.orderBy(F.try_element_at(order, F.col("lang")), "path")
-
-
-def _text(raw: bytes) -> str:
-    for charset in ("utf-8", "shift_jis", "euc-jp", "euc-kr", "gb18030", "tis-620", "cp1258"):
-        try:
-            return raw.decode(charset)
-        except UnicodeDecodeError:
-            continue
-    return raw.decode("utf-8", "ignore")
+    return rows.withColumn("lang_ord", F.try_element_at(order, F.col("lang")))
 
 
 def read_epub(content: bytes) -> dict:
@@ -51,13 +43,16 @@ def read_epub(content: bytes) -> dict:
         title = next((e.text for e in package.iter() if local(e) == "title" and e.text), None)
         styles = [e for e in items.values() if e.get("media-type") == "text/css"]
         names = set(z.namelist())
-        vertical = any("vertical" in _text(z.read(place(e))).lower() for e in styles if place(e) in names)
+        vertical = any("vertical" in decoded(z.read(place(e))).lower() for e in styles if place(e) in names)
         chapters, ruby = [], False
         for ref in (e for e in package.iter() if local(e) == "itemref"):
             item = items.get(ref.get("idref"))
             if item is None or any(k in (item.get("href") or "").lower() for k in NOT_CHAPTERS) or place(item) not in names:
                 continue
-            root = parse(_text(z.read(place(item))))
+            try:
+                root = parse(decoded(z.read(place(item))))
+            except Exception:  # noqa: BLE001
+                continue  # one unreadable document costs no more than itself
             ruby = ruby or any(n.name == "ruby" for n in root.walk())
             paras = paragraphs_of(root)
             chars = sum(len(p["text"]) for p in paras)

@@ -1,5 +1,9 @@
 """Golden vectors of the scalar functions."""
 
+import itertools
+import json
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,10 +32,34 @@ def test_display_ruby_takes_ideographs_only(spark):
     assert "".join(p.base for p in got) == "彼は財布を落とす"
 
 
-def test_cut_annotation():
-    assert A.cut_annotation("財布を落とす", "財布[サイフ]を落とす") == "財布[サイフ]を落とす"
-    assert A.cut_annotation("財布を落とす", "彼は財布[サイフ]を落とす") == "財布を落とす"
-    assert A.cut_annotation("", "x") == A.cut_annotation("x", "") == A.cut_annotation("zzz", "財布") == ""
+def cut_by_hand(example, source):
+    """Every code point of the source with its part; the match is looked for in the code points."""
+    wanted, points = (example or "").strip(), []
+    for k, m in enumerate(re.finditer(r"([^\[\]]+)(?:\[([^\[\]]+)\])?", source or "")):
+        points += [(c, k, m[1], m[2] or "") for c in m[1]]
+    plain = "".join(p[0] for p in points)
+    for goal in (wanted, wanted[: max(10, len(wanted) // 2)]):
+        at = plain.find(goal)
+        if goal and plain and at >= 0:
+            out = ""
+            for k, run in itertools.groupby(points[at : at + len(goal)], key=lambda p: p[1]):
+                run = list(run)
+                out += "".join(p[0] for p in run) + (f"[{run[0][3]}]" if run[0][3] and len(run) == len(run[0][2]) else "")
+            return out
+    return ""
+
+
+ANNOTATED = [
+    ("財布を落とす", "財布[サイフ]を落とす"), ("財布を落とす", "彼は財布[サイフ]を落とす"), ("", "x"), ("x", ""), (None, "x"), ("x", None), ("zzz", "財布"), ("  財布 ", "[x]財布[サイフ]"),
+    ("財布を落としたので帰れない。そして", "私は 財布[サイフ]を落としたので帰[かえ]れない"), ("ab", "a[1]b[2]c"), ("b", "a[1]b[2]c"), ("abc", "a[1]b[2]c"), ("𠮷野家", "𠮷[よし]野家[のや]"), ("a" * 30 + "b", "a" * 40), ("aa", "aaa[x]aa[y]"),
+]
+
+
+def test_annot_for_example(spark):
+    rows = spark.createDataFrame(ANNOTATED, "e string, s string").repartition(1)
+    got = rows.select("e", "s", A.annot_for_example("e", "s").alias("a")).collect()
+    assert {(r.e, r.s): r.a for r in got} == {(e, s): cut_by_hand(e, s) for e, s in ANNOTATED}
+    assert cut_by_hand(*ANNOTATED[0]) == "財布[サイフ]を落とす" and cut_by_hand(*ANNOTATED[1]) == "財布を落とす"
 
 
 @pytest.mark.parametrize(("annot", "text", "ok"), [("至[いた]って", "至って", True), ("至って[いたって]", "至って", False), ("[x]至って", "至って", False), ("", "", False), (None, "x", False)])
@@ -68,8 +96,10 @@ def test_norm_level(spark, lang, level, want, rank):
 
 def test_kana(spark):
     assert one(spark, X.kata_to_hira(F.col("a")), a="スーパーヴヶ") == "すーぱーゔゖ"
-    assert A.long_kana("コーヒー") == "こうひー"
-    assert A.with_readings([{"s": "財布", "r": "サイフ"}, {"s": "を", "r": "ヲ"}]) == "財布[さいふ]を"
+    assert one(spark, A.kata_to_hira_long("a"), a="コーヒー") == "こうひー"
+    assert one(spark, A.kata_to_hira_long("a"), a="ケーキおーーー") == "けいきおうーー"
+    tokens = spark.createDataFrame([([("財布", "サイフ", None), ("を", "ヲ", None), ("落", "*", None), ("目", "もく", "book"), ("猫", None, None)],)], "t array<struct<s:string,r:string,rs:string>>")
+    assert tokens.select(A.synthesize_ruby("t")).first()[0] == "財布[さいふ]を落目[もく]猫"
 
 
 def test_content_hash(spark):
@@ -103,12 +133,15 @@ def test_labels(spark):
     assert one(spark, X.template_version(F.col("a")), a="x") == "0"
 
 
-def test_find_json():
-    assert A.find_json('[{"a":1}]') == {"a": 1}
-    assert A.find_json('[{"a":1},{"a":2}]') == [{"a": 1}, {"a": 2}]
-    assert A.find_json('x ```json\n{"b": 2}\n``` y') == {"b": 2}
-    with pytest.raises(ValueError, match="JSON"):
-        A.find_json("none")
+JSON = [
+    ('[{"a":1}]', {"a": 1}), ('[{"a":1},{"a":2}]', [{"a": 1}, {"a": 2}]), ('x ```json\n{"b": 2}\n``` y {"c": 3}', {"b": 2}), ("none", None), ("", None), (None, None), ("{bad} [1, 2]", [1, 2]),
+    ('say {"a": {"b": [1, 2]}} there', {"a": {"b": [1, 2]}}), ('{"a":1} and {"a":2}', None), ('{"a":1},"x":{"a":2}', None), ("``` [1] ```", [1]), ('{"a":1}]', {"a": 1}), ("[1] x [2]", None), ('```json\n[{"w":"猫"}]\n```', {"w": "猫"}),
+]
+
+
+def test_extract_json(spark):
+    got = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(JSON)], "k int, t string").select("k", A.extract_json("t").alias("j")).collect()
+    assert {r.k: None if r.j is None else json.loads(r.j) for r in got} == {k: want for k, (_, want) in enumerate(JSON)}
 
 
 def test_merge_example(spark):

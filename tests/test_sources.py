@@ -34,7 +34,7 @@ def test_epub(spark, tmp_path):
         (tmp_path / lang).mkdir()
         (tmp_path / lang / name).write_bytes(raw)
     found = files.scan_corpus(spark, str(tmp_path))
-    assert [r.lang for r in found.collect()] == ["ja", "ko"]
+    assert [r.lang for r in found.orderBy("lang_ord", "path").collect()] == ["ja", "ko"]
     rows = files.scan_epub(found.select(F.col("lang").alias("book_id"), F.col("lang").alias("title_orig"), "content")).orderBy("book_id", "chapter_idx").collect()
     assert [(r.book_id, r.status, r.chapter_idx) for r in rows] == [("ja", "failed_unpack", None), ("ko", "unpacked", 1), ("ko", "unpacked", 2)]
 
