@@ -16,9 +16,12 @@ cloudpickle.register_pickle_by_value(sys.modules["lexiforge"])
 #: The white space of the contracts, for Java's and for RE2's regular expressions.
 WS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Held while stored() writes: shuffle files go when the write is whole, and Arrow batches stay small whatever the texts are.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
 #: A side of a join is broadcast only below this many rows of two longs (about 8 MB); beyond it the join shuffles.
 BROADCAST_ROWS = 400_000
+#: Rows of one key that a salted join leaves together.
+SPREAD = 4096
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,12 +45,14 @@ def work_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: cuts the lineage and survives lost executors."""
     spark, path = df.sparkSession, work_path(df.sparkSession, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")  # the write is complete in itself: nothing reads its shuffle files again
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before) if before is not None else spark.conf.unset(SHUFFLE_CLEANUP)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     out = spark.read.schema(df.schema).parquet(path)
     out.lexiforge_path = path
     return out
@@ -77,6 +82,22 @@ def sized_broadcast(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> Dat
     return F.broadcast(df) if rows <= most else df
 
 
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], rows: str, how: str = "inner") -> DataFrame:
+    """left joined with right, which has one row a key and in `rows` how many rows of left the key has.
+
+    A key of over SPREAD rows is dealt over several: its row of right is copied, its rows of left are spread by their hash.
+    """
+    hot = stored(right.filter(F.col(rows) > SPREAD).select(*on, F.ceil(F.col(rows) / SPREAD).cast("int").alias("__parts")), "hot")
+    few = hot.count()
+    if not few:
+        return left.join(right, on, how)
+    hot = sized_broadcast(hot, few)
+    left = left.withColumn("__hash", F.xxhash64(*left.columns)).join(hot, on, "left")
+    left = left.withColumn("__salt", F.coalesce(F.pmod("__hash", "__parts"), F.lit(0)).cast("int")).drop("__parts", "__hash")
+    right = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return left.join(right, [*on, "__salt"], how).drop("__salt")
+
+
 def let(value: Column, body) -> Column:
     """Evaluates value once and hands it to body; a plain column could be inlined into a lambda and run per element."""
     return F.transform(F.array(value), body)[0]
@@ -86,6 +107,25 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def trimmed(body):
+    """A body of mapInArrow that gives what it freed back to the system when its partition ends: workers wait for more."""
+
+    def run(batches):
+        import contextlib
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from body(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker, across tasks."""
     holder = sys.modules.setdefault("_lexiforge_worker_cache", types.ModuleType("_lexiforge_worker_cache"))

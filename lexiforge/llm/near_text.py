@@ -25,7 +25,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import arrow_texts, discard, fresh, sized_broadcast, stored, text_or_empty
+from lexiforge.llm._shared import arrow_texts, discard, fresh, sized_broadcast, stored, text_or_empty, trimmed
 from lexiforge.llm.simhash import components, links, simhash
 
 SIMILARITY, SHINGLE = 0.8, 5
@@ -110,7 +110,7 @@ def common_shingles(docs: DataFrame):
 
     share = max(SHARE, docs.count() // SAMPLE)
     sample = docs.select("doc", "text").filter(F.pmod(F.xxhash64("doc"), F.lit(share)) == 0)
-    counts = sample.mapInArrow(_singly, "shingle long").groupBy("shingle").count().filter("count > 2")
+    counts = sample.mapInArrow(trimmed(_singly), "shingle long").groupBy("shingle").count().filter("count > 2")
     top = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).toArrow()
     hashes, n = (np.asarray(top.column(k).combine_chunks()) for k in (0, 1))
     order = np.argsort(hashes)
@@ -151,7 +151,7 @@ def _sketched(similarity: float, hashes, counts):
 
 def sketches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs (doc: distinct longs, text) to the stored SKETCH rows: the one pass over all texts."""
-    return stored(docs.select("doc", "text").mapInArrow(_sketched(similarity, *common_shingles(docs)), SKETCH), "sketch")
+    return stored(docs.select("doc", "text").mapInArrow(trimmed(_sketched(similarity, *common_shingles(docs))), SKETCH), "sketch")
 
 
 MEMBER = "key long, doc long, span long"  # span: size of the set << 32 | place of the key in it
@@ -343,9 +343,9 @@ def _alike(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b), a stored table, whose shingle sets are alike."""
     needed = _needed(pairs)
     texts = docs.select("doc", "text").join(sized_broadcast(needed, needed.count()), "doc", "left_semi")
-    sets = stored(texts.mapInArrow(_sets, "doc long, shingles array<long>"), "shingles")
+    sets = stored(texts.mapInArrow(trimmed(_sets), "doc long, shingles array<long>"), "shingles")
     both = _with(_with(pairs, "a", sets, {"shingles": "x"}), "b", sets, {"shingles": "y"}).select("a", "b", "x", "y")
-    out = stored(both.mapInArrow(_verified(similarity), "a long, b long"), "alike")
+    out = stored(both.mapInArrow(trimmed(_verified(similarity)), "a long, b long"), "alike")
     discard(sets, needed)
     return out
 
@@ -355,7 +355,7 @@ def _close(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
     needed = _needed(pairs)
     rows = sketch.select("doc", "n", "parity").join(sized_broadcast(needed, needed.count()), "doc", "left_semi")
     both = _with(_with(pairs, "a", rows, {"n": "n", "parity": "x"}), "b", rows, {"n": "m", "parity": "y"}).select("a", "b", "n", "m", "x", "y")
-    out = stored(both.mapInArrow(_near(similarity), "a long, b long"), "close")
+    out = stored(both.mapInArrow(trimmed(_near(similarity)), "a long, b long"), "close")
     discard(needed)
     return out
 
@@ -385,7 +385,7 @@ def alike_edges(docs: DataFrame, sketch: DataFrame, similarity: float = SIMILARI
     again = stored(sketch.select("doc", "digest").join(sized_broadcast(first, first.count(), 100_000), "digest").filter("doc <> b").select(F.col("doc").alias("a"), "b"), "stars")
     single = sketch.join(sized_broadcast(again.select(F.col("a").alias("doc")), again.count()), "doc", "left_anti").select("doc", "n", "first", "rare")
     keyed = _members(single, F.lit(0), F.col("rare")).repartition("key").sortWithinPartitions("key")
-    found = stored(keyed.mapInArrow(_candidates(similarity, hot), "key long, a long, b long, span long"), "found")
+    found = stored(keyed.mapInArrow(trimmed(_candidates(similarity, hot)), "key long, a long, b long, span long"), "found")
     members = found.filter("b is null").select("key", F.col("a").alias("doc"), "span")
     members = stored(members.unionByName(_members(single, F.col("rare"), F.size("first") - F.col("rare"))), "members")
     pairs = found.filter("b is not null").select("a", "b").unionByName(_led(members, similarity))
@@ -394,7 +394,7 @@ def alike_edges(docs: DataFrame, sketch: DataFrame, similarity: float = SIMILARI
     edges = _alike(close, docs, similarity)
     discard(first, found, pairs, close)
     if members.limit(1).count():
-        crossing = stored(_cells(members, sketch, edges).mapInArrow(_crossing(similarity), "a long, b long").distinct(), "crossing")
+        crossing = stored(_cells(members, sketch, edges).mapInArrow(trimmed(_crossing(similarity)), "a long, b long").distinct(), "crossing")
         edges = edges.unionByName(_alike(crossing, docs, similarity))
         discard(crossing)
     discard(members)

@@ -1,14 +1,16 @@
 """Packing token sequences by best-fit decreasing.
 
 Documents are tokenised and end with one end token.  An overlong one is first cut into full windows, its rest is a piece.
-Pieces (not texts) are dealt over the partitions; each partition sorts them by decreasing length and puts each into the
-open window with the tightest fit, found in a segment tree indexed by remaining capacity.  Only lengths are held in memory.
+Pieces (not texts) are dealt over partitions of some RUN pieces, however many there are; each partition sorts its own by
+decreasing length and puts each into the open window with the tightest fit, found in a segment tree indexed by remaining
+capacity.  Only the numbers of one run are held in memory.
 
 Tokens are the tokenizer's, word by word: its vocabulary never spans an ASCII space, so a word's ids are looked up in a
 bounded cache; words that it lacks are merged by the tokenizer's own ranks or go to the tokenizer itself (see Ids).
 
-Defined results: null text counts as empty (one end token); repeated rows are documents like others; an empty table gives
-an empty result; a document of exactly a multiple of the window leaves no rest.
+Defined results: null text counts as empty (one end token); repeated rows are documents like others; pieces of equal length go
+in the order of (doc_id, start), null ids first, so that reruns agree; texts of any length are cut whole; an empty table gives
+an empty result; a document of exactly a multiple of the window leaves no rest; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import arrow_texts, read_table, worker_cache
+from lexiforge.llm._shared import arrow_texts, read_table, stored, trimmed, worker_cache
 
 WINDOW, END = 2048, 1
+#: Pieces that one task packs.
+RUN = 250_000
 #: Words that a worker's cache holds at most, and the longest word that it holds.
-CACHE_WORDS, CACHE_LENGTH = 400_000, 64
+CACHE_WORDS, CACHE_LENGTH = 200_000, 64
 #: One in so many merged words is compared with the tokenizer.
 CHECKED = 256
 
@@ -97,7 +101,7 @@ class Ids(dict):
     """word -> its ids as little-endian unsigned 32-bit bytes; missing ones are made, and kept while there is room.
 
     Printable Latin words go to a byte-pair merger with the tokenizer's own ranks, five times as fast; all others, and every
-    CHECKED-th of them for comparison, go to the tokenizer itself.
+    CHECKED-th of them for comparison, go to the tokenizer itself.  Should the two ever differ, the tokenizer takes over.
     """
 
     def __init__(self, path: str, most: int):
@@ -110,7 +114,7 @@ class Ids(dict):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
-        self.most, self.made = most, 0
+        self.most, self.made, self.trusted = most, 0, True
         self.tokenizer = Tokenizer.from_file(path)
         ranks, pattern = merge_ranks(path)
         self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
@@ -123,11 +127,12 @@ class Ids(dict):
         from array import array
         from itertools import chain
 
-        if word.isprintable() and (word.isascii() or (max(word) < "\u0250" and "\u0130" not in word)) and "<|" not in word:
+        if self.trusted and word.isprintable() and (word.isascii() or (max(word) < "\u0250" and "\u0130" not in word)) and "<|" not in word:
             ids = list(chain.from_iterable(self.merge(p.encode() + b"\xff") for p in self.parts(word.lower())))
             self.made += 1
-            if self.made % CHECKED == 1 and ids != self.exact(word):
-                raise ValueError(f"the merger and the tokenizer differ on {word!r}")
+            if self.made % CHECKED == 1 and ids != (own := self.exact(word)):
+                self.clear()
+                self.trusted, self[""], ids = False, b"", own
         else:
             ids = self.exact(word)
         raw = array("I", ids)
@@ -205,9 +210,10 @@ def _pack(window: int):
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = slim.mapInArrow(_cut(tokenizer, window, end), ", ".join(f"{c} long" for c in PIECE))
+    pieces = stored(slim.mapInArrow(trimmed(_cut(tokenizer, window, end)), ", ".join(f"{c} long" for c in PIECE)), "pieces")
     kinds = ", ".join(f"{c} long" for c in [*PIECE[:5], "sequence_id", "offset"])
-    return pieces.repartition("deal").mapInArrow(_pack(window), kinds)
+    runs = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pieces.count() // RUN))
+    return pieces.repartition(runs, "deal").mapInArrow(_pack(window), kinds)
 
 
 def tokenizer_path() -> str:

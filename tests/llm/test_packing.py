@@ -79,5 +79,25 @@ def test_cache_that_overflows(monkeypatch):
         assert encode(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_tokenizer_takes_over_from_a_wrong_merger():
+    from tokenizers import Tokenizer
+
+    ids = M.Ids(M.tokenizer_path(), 100)
+    ids.merge = lambda piece: [9]
+    tok = Tokenizer.from_file(M.tokenizer_path())
+    for word in ("some", "words", "some"):
+        assert ids[word] == np.array(tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    assert not ids.trusted
+
+
+def test_many_runs(spark, monkeypatch):
+    monkeypatch.setattr(M, "RUN", 9)
+    rows = odd_rows()
+    made = M.pack(documents(spark, rows), M.tokenizer_path())
+    pieces = made.collect()
+    assert made.rdd.getNumPartitions() == -(-len(pieces) // 9) > 4
+    assert check_round_trip(rows, pieces) > 4
+
+
 def test_empty_table(spark):
     assert M.pack(documents(spark, []), M.tokenizer_path()).count() == 0
