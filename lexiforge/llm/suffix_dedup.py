@@ -13,8 +13,11 @@ anchor are a segment (gram hash, hash of its bytes, document, place).
    hash of the bytes that all of the block's windows hold; blocks whose bytes stand there once are unique, the others are
    compared window by window by a 128-bit hash in an aggregation.  So no group of any size meets in one task.
 
+A gram or kind that very many segments have is dealt over several keys in the joins.
+
 Defined results: null text is empty (0 bytes, no spans); texts under LENGTH bytes lose nothing; repeated rows are documents
-of their own and repeat each other; null or repeated doc_id are allowed; an empty table gives an empty result.
+of their own and repeat each other; null or repeated doc_id are allowed; texts of any length are read whole, in slices that
+overlap; an empty table gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import arrow_texts, discard, read_table, stored, text_or_empty
+from lexiforge.llm._shared import arrow_texts, discard, read_table, salted_join, stored, text_or_empty
 
 LENGTH, GRAM = 200, 64
 WIDE = LENGTH - GRAM + 1
@@ -362,8 +365,8 @@ def spans(docs: DataFrame) -> DataFrame:
     """docs (doc: a key of its own, text) to spans (doc, a, b) whose bytes go; spans may overlap."""
     segments = stored(docs.mapInArrow(_segments, SEGMENT), "segments")
     grams = segments.groupBy("g").agg(F.count("*").alias("n"), F.min("s").alias("low"), F.max("s").alias("high")).filter("n > 1")
-    grams = stored(grams.select("g", (F.col("low") == F.col("high")).alias("one_kind")), "grams")
-    hits = stored(segments.join(grams, "g"), "hits")
+    grams = stored(grams.select("g", "n", (F.col("low") == F.col("high")).alias("one_kind")), "grams")
+    hits = stored(salted_join(segments, grams, ["g"], "n").drop("n"), "hits")
     discard(segments, grams)
     whole = lambda df: df.select("doc", F.shiftright("place", 16).alias("a"), (F.shiftright("place", 16) + F.expr("(shiftright(place, 8) & 255)") + LENGTH).alias("b"))
     mixed = hits.filter("not one_kind")
@@ -373,7 +376,7 @@ def spans(docs: DataFrame) -> DataFrame:
     texts = docs.join(wanted, "doc").select("doc", "text", F.col("w.g").alias("gs"), F.col("w.n").alias("ns"), F.col("w.place").alias("places"))
     fetched = stored(texts.mapInArrow(_fetch, FETCHED), "fetched")
     cold = fetched.join(crowded, "g", "left_anti").repartition("g").sortWithinPartitions("g").mapInArrow(_solve, "doc long, a long, b long")
-    out = [whole(hits.filter("one_kind")), whole(mixed.join(kinds.filter("n > 1").select("g", "s"), ["g", "s"], "left_semi")), cold]
+    out = [whole(hits.filter("one_kind")), whole(salted_join(mixed, kinds.filter("n > 1").select("g", "s", "n"), ["g", "s"], "n", "left_semi")), cold]
     if crowded.limit(1).count():
         kind = "core long, b1 long, b2 long, doc long, a long, windows long, content binary"
         blocks = stored(fetched.join(crowded, "g", "left_semi").select(*[x.split()[0] for x in FETCHED.split(", ")]).mapInArrow(_blocks, kind), "blocks")

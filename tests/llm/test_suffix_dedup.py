@@ -43,6 +43,14 @@ def test_equals_brute_force(spark, monkeypatch, hot):
         assert got(M.remove_repeats(documents(spark, rows).repartition(4))) == slow(rows)
 
 
+def test_keys_that_are_spread(spark, monkeypatch):
+    from lexiforge.llm import _shared
+
+    monkeypatch.setattr(_shared, "SPREAD", 3)
+    rows = hot_rows() + [(300 + k, "ab" * 150 + f" end {k}", "en", "a", 1) for k in range(20)]
+    assert got(M.remove_repeats(documents(spark, rows).repartition(4))) == slow(rows)
+
+
 def test_long_documents_cross_slices(spark, monkeypatch):
     rng = random.Random(3)
     part = text(rng, 300)
