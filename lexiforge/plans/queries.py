@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexiforge.functions import annotate as A
 from lexiforge.functions import html as H
 from lexiforge.functions import text as X
 from lexiforge.operators import adopt, books, canary, chunk, freq, ledger, publish, search, validate, vocab
@@ -105,21 +104,21 @@ def batch_completeness(spark, sf_dir):
     return vocab.completeness(tasks, _candidates(spark, sf_dir), "s6", "batch")
 
 
-@query(f"""WITH {_CAND_SQL}, g AS (SELECT lang AS language, lower(regexp_extract(text, '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS word, substr(text, 1, 40) AS gloss_zh, doc_id FROM documents)
+@query(f"""WITH {_CAND_SQL}, g AS (SELECT lang AS language, lower(regexp_extract(text, '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS word, text AS gloss_zh, doc_id FROM documents)
 SELECT language, key AS word, arg_min(gloss_zh, doc_id) AS gloss_zh, min(rank) AS rank FROM c JOIN g ON g.language = c.language AND g.word = c.key GROUP BY ALL""".replace("SELECT language, key AS word", "SELECT c.language, key AS word"))
 def gloss_join(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     first = F.lower(F.regexp_extract("text", r"[\p{L}\p{M}\p{N}]+", 0))
-    gloss = docs.select(F.col("lang").alias("language"), first.alias("word"), F.substring("text", 1, 40).alias("gloss_zh"), F.lit("").alias("pos"), F.lit("").alias("hanja"), F.col("doc_id").alias("file"), F.lit(0).alias("item"))
+    gloss = docs.select(F.col("lang").alias("language"), first.alias("word"), F.col("text").alias("gloss_zh"), F.lit("").alias("pos"), F.lit("").alias("hanja"), F.col("doc_id").alias("file"), F.lit(0).alias("item"))
     return vocab.first_gloss(gloss).join(_candidates(spark, sf_dir).withColumnRenamed("key", "word"), ["language", "word"]).select("language", "word", "gloss_zh", "rank")
 
 
-@query(f"""WITH {_CAND_SQL}, g AS (SELECT lang AS language, lower(regexp_extract(text, '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS word, arg_min(substr(text, 1, 40), doc_id) AS gloss_zh FROM documents GROUP BY ALL)
+@query(f"""WITH {_CAND_SQL}, g AS (SELECT lang AS language, lower(regexp_extract(text, '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS word, arg_min(text, doc_id) AS gloss_zh FROM documents GROUP BY ALL)
 SELECT c.language || '-voc-' || printf('%05d', rank) AS id, c.language, word, '' AS reading, '' AS pos, gloss_zh, '' AS gloss_detail_zh, 'draft' AS status FROM c JOIN g ON g.language = c.language AND g.word = c.key WHERE rank <= 1500""")
 def ingest_vocab(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     first = F.lower(F.regexp_extract("text", r"[\p{L}\p{M}\p{N}]+", 0))
-    gloss = docs.select(F.col("lang").alias("language"), first.alias("word"), F.substring("text", 1, 40).alias("gloss_zh"), F.lit("").alias("pos"), F.lit("").alias("hanja"), F.col("doc_id").alias("file"), F.lit(0).alias("item"))
+    gloss = docs.select(F.col("lang").alias("language"), first.alias("word"), F.col("text").alias("gloss_zh"), F.lit("").alias("pos"), F.lit("").alias("hanja"), F.col("doc_id").alias("file"), F.lit(0).alias("item"))
     return vocab.entries(_candidates(spark, sf_dir).withColumn("reading", F.lit("")), gloss).drop("frequency")
 
 
@@ -155,11 +154,11 @@ def ledger_register(spark, sf_dir):
     return books.latest(read(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type"), "user_id", ["ts", "event_id"]).drop("ts")
 
 
-@query("SELECT doc_id AS book_id, lang AS language FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS DISTINCT FROM 1 AND lang = 'de'")
+@query("SELECT doc_id AS book_id, lang AS language FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS DISTINCT FROM 1")
 def select_pending_books(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
     rows = rows.select(F.col("doc_id").alias("book_id"), F.col("lang").alias("language"), F.when(F.col("quality") == 1, "unpacked").alias("status"))
-    return books.pending(rows, "de").select("book_id", "language")
+    return books.pending(rows).select("book_id", "language")
 
 
 @query("SELECT doc_id AS book_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -182,18 +181,19 @@ def ledger_report(spark, sf_dir):
 
 def _task_events(spark, sf_dir):
     e = read(spark, sf_dir, "events")
-    n = F.row_number().over(W.partitionBy("user_id").orderBy("event_id"))
+    task = F.concat("user_id", F.lit("-"), F.col("event_id") % 30)
+    n = F.row_number().over(W.partitionBy("user_id", F.col("event_id") % 30).orderBy("event_id"))
     kind = F.when(n == 1, "enqueue").otherwise(F.element_at(F.array(*map(F.lit, ("claim", "complete", "fail"))), (F.col("event_id") % 3 + 1).cast("int")))
     none = F.lit(None).cast("string")
-    return e.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("id"), kind.alias("event"), F.col("event_id").alias("ts"), F.lit("s4").alias("stage"), none.alias("book_id"), F.col("event_type").alias("item_key"), F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("executor"), F.lit(3).alias("max_attempts"), F.get_json_object("props", "$.k").cast("long").alias("prompt_tokens"), F.lit(1).cast("long").alias("completion_tokens"), none.alias("output_path"), F.lit("x").alias("error"))
+    return e.select(F.col("event_id").alias("seq"), task.alias("id"), kind.alias("event"), F.col("event_id").alias("ts"), F.lit("s4").alias("stage"), none.alias("book_id"), F.col("event_type").alias("item_key"), F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("executor"), F.lit(3).alias("max_attempts"), F.get_json_object("props", "$.k").cast("long").alias("prompt_tokens"), F.lit(1).cast("long").alias("completion_tokens"), none.alias("output_path"), F.lit("x").alias("error"))
 
 
-_STATE_SQL = """WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+_STATE_SQL = """WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_id % 30 ORDER BY event_id) AS n FROM events),
 k AS (SELECT *, CASE WHEN n = 1 THEN 'enqueue' ELSE ['claim', 'complete', 'fail'][event_id % 3 + 1] END AS event FROM n),
-s AS (SELECT user_id::VARCHAR AS id, arg_max(event, event_id) AS last, count(*) FILTER (WHERE event = 'claim') AS attempts, min(event_id) AS enqueue_ts,
+s AS (SELECT user_id || '-' || event_id % 30 AS id, arg_max(event, event_id) AS last, count(*) FILTER (WHERE event = 'claim') AS attempts, min(event_id) AS enqueue_ts,
  max(event_id) FILTER (WHERE event = 'claim') AS start_ts, max(event_id) FILTER (WHERE event IN ('complete', 'fail')) AS end_ts,
  arg_max(json_extract(props, '$.k')::BIGINT, event_id) FILTER (WHERE event = 'complete') AS prompt_tokens,
- arg_max(event_type, event_id) FILTER (WHERE event = 'complete' AND event_id % 2 = 0) AS executor FROM k GROUP BY user_id),
+ arg_max(event_type, event_id) FILTER (WHERE event = 'complete' AND event_id % 2 = 0) AS executor FROM k GROUP BY user_id, event_id % 30),
 l AS (SELECT id, CASE last WHEN 'enqueue' THEN 'queued' WHEN 'claim' THEN 'running' WHEN 'complete' THEN 'done' ELSE 'failed' END AS status, attempts, enqueue_ts, start_ts, end_ts, prompt_tokens, executor FROM s)"""
 
 
@@ -202,14 +202,16 @@ def ledger_state(spark, sf_dir):
     return ledger.state(_task_events(spark, sf_dir)).select("id", "status", "attempts", "enqueue_ts", "start_ts", "end_ts", "prompt_tokens", "executor")
 
 
-@query(f"{_STATE_SQL} SELECT id, CASE WHEN status = 'running' AND start_ts < 8000 - 1800 THEN 'queued' ELSE status END AS status FROM l WHERE status = 'queued' OR (status = 'running' AND start_ts < 8000 - 1800) OR (status = 'failed' AND attempts < 3)")
+@query(f"{_STATE_SQL} SELECT id, CASE WHEN status = 'running' AND start_ts < (SELECT max(event_id) FROM events) + 900 - 1800 THEN 'queued' ELSE status END AS status, attempts FROM l WHERE status = 'queued' OR (status = 'running' AND start_ts < (SELECT max(event_id) FROM events) + 900 - 1800) OR (status = 'failed' AND attempts < 3)")
 def ledger_pending(spark, sf_dir):
-    return ledger.pending(ledger.state(_task_events(spark, sf_dir)), "s4", 8000).select("id", "status")
+    # now: so long after the log's end that some of its last claims are stale
+    now = read(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] + 900
+    return ledger.pending(ledger.state(_task_events(spark, sf_dir)), "s4", now).select("id", "status", "attempts")
 
 
-@query(f"{_STATE_SQL} SELECT event_id FROM events WHERE user_id::VARCHAR NOT IN (SELECT id FROM l WHERE status = 'done')")
+@query(f"{_STATE_SQL} SELECT event_id FROM events WHERE user_id || '-' || event_id % 30 NOT IN (SELECT id FROM l WHERE status = 'done')")
 def resume_not_done(spark, sf_dir):
-    work = read(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("task_id"))
+    work = read(spark, sf_dir, "events").select("event_id", F.concat("user_id", F.lit("-"), F.col("event_id") % 30).alias("task_id"))
     return ledger.not_done(work, ledger.state(_task_events(spark, sf_dir))).select("event_id")
 
 
@@ -238,9 +240,9 @@ def is_junk(spark, sf_dir):
     return lines.groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(X.is_junk(F.col("line"))).alias("junk"))
 
 
-@query(r"SELECT doc_id, lower(regexp_replace(coalesce(nullif(substr(text, 1, 30), ''), source), '\s+', '', 'g')) AS key FROM documents")
+@query(rf"SELECT doc_id, sha256(lower(regexp_replace(coalesce(nullif(text, ''), source), '{_UWS}+', '', 'g'))) AS key FROM documents")
 def dedup_key(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", X.dedup_key(F.lit(""), F.substring("text", 1, 30), F.col("source")).alias("key"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(X.dedup_key(F.lit(""), F.col("text"), F.col("source")), 256).alias("key"))
 
 
 _LEVELS_SQL = """l AS (SELECT d.doc_id, lang, CASE WHEN lang IN ('en', 'de') THEN 'ko' ELSE 'th' END AS language, 'level ' || (n_chars % 9) AS level FROM documents d),
@@ -371,10 +373,10 @@ def dup_ids(spark, sf_dir):
     return validate.duplicate_ids(rows).select(F.col("path").alias("doc_id"))
 
 
-@query("WITH m AS (SELECT source, doc_id FROM documents WHERE lang = 'en') SELECT source AS id, doc_id::VARCHAR AS detail FROM m WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+@query("WITH m AS (SELECT source, doc_id FROM documents) SELECT source AS id, doc_id::VARCHAR AS detail FROM m WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def dangling_members(spark, sf_dir):
-    en = read(spark, sf_dir, "documents").filter("lang = 'en'").groupBy(F.col("source").alias("group_id")).agg(F.collect_list(F.col("doc_id").cast("string")).alias("m"))
-    groups = en.select("group_id", F.lit("p").alias("path"), F.create_map(F.lit("en"), "m").alias("members"))
+    own = read(spark, sf_dir, "documents").groupBy(F.col("source").alias("group_id"), "lang", (F.col("doc_id") % 64).alias("part")).agg(F.collect_list(F.col("doc_id").cast("string")).alias("m"))
+    groups = own.select("group_id", F.lit("p").alias("path"), F.create_map("lang", "m").alias("members"))
     ids = read(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
     return validate.dangling_members(groups, ids).select("id", "detail")
 
@@ -429,61 +431,11 @@ def canary_check(spark, sf_dir):
     return canary.containment(docs, canary.probes(items)).select(F.col("book_id").alias("item_id"), "doc_id").distinct()
 
 
-@query("""SELECT doc_id, contains(regexp_replace(text, '[\\s、。，．！？!?…・「」『』()（）\\-—]+', '', 'g'), substr(regexp_replace(substr(source || text, 1, 60), '[\\s、。，．！？!?…・「」『』()（）\\-—]+', '', 'g'), 1,
- greatest(8, floor(0.6 * length(regexp_replace(substr(source || text, 1, 60), '[\\s、。，．！？!?…・「」『』()（）\\-—]+', '', 'g')))::INTEGER))) AS own, true AS part FROM documents WHERE length(text) > 20""")
-def provenance_probe(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").filter(F.length("text") > 20)
-    own = X.provenance_probe(F.substring(F.concat("source", "text"), 1, 60), F.col("text"))
-    return docs.select("doc_id", own.alias("own"), X.provenance_probe(F.substring("text", 3, 60), F.col("text")).alias("part"))
-
-
 @query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
 def json_field(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-_GOLDEN = [
-    (1, "財布[サイフ]を落とす", "財布を落とす", True), (2, "彼は財布[サイフ]を落とす", "彼は財布を落とす", True), (3, "至[いた]って", "至って", True),
-    (4, "至って[いたって]", "至って", False), (5, "[x]至って", "至って", False), (6, "", "", False), (7, "スーパーヴヶ", "スーパーヴヶ", True),
-]
-_GOLDEN_ROWS = ", ".join(f"({i}, '{a}', '{t}')" for i, a, t, _ in _GOLDEN)
-
-
-@query(f"SELECT id, regexp_replace(annot, '\\[[^\\]]*\\]', '', 'g') = text AND annot <> '' AND NOT regexp_matches(annot, '(^|[^㐀-鿿豈-﫿])\\[') AS valid FROM (VALUES {_GOLDEN_ROWS}) v(id, annot, text)")
-def valid_annot(spark, sf_dir):
-    rows = spark.createDataFrame([g[:3] for g in _GOLDEN], "id int, annot string, text string")
-    return rows.select("id", X.valid_annot(F.col("annot"), F.col("text")).alias("valid"))
-
-
-@query(f"""SELECT id, array_to_string(list_transform(list_zip(regexp_extract_all(annot, '([^\\[\\]]+)(?:\\[([^\\[\\]]+)\\])?', 1), regexp_extract_all(annot, '([^\\[\\]]+)(?:\\[([^\\[\\]]+)\\])?', 2)), lambda x: x[1] || '/' || coalesce(x[2], '')), ' ') AS parts FROM (VALUES {_GOLDEN_ROWS}) v(id, annot, text)""")
-def parse_annot(spark, sf_dir):
-    rows = spark.createDataFrame([g[:3] for g in _GOLDEN], "id int, annot string, text string")
-    parts = F.transform(X.parse_annot(F.col("annot")), lambda p: F.concat(p["base"], F.lit("/"), p["read"]))
-    return rows.select("id", F.array_join(parts, " ").alias("parts"))
-
-
-_KATA = "".join(map(chr, range(0x30A1, 0x30F7)))
-_HIRA = "".join(chr(ord(c) - 0x60) for c in _KATA)
-
-
-@query(f"SELECT id, translate(annot, '{_KATA}', '{_HIRA}') AS hira FROM (VALUES {_GOLDEN_ROWS}) v(id, annot, text)")
-def kata_to_hira(spark, sf_dir):
-    rows = spark.createDataFrame([g[:3] for g in _GOLDEN], "id int, annot string, text string")
-    return rows.select("id", X.kata_to_hira(F.col("annot")).alias("hira"))
-
-
-@query()
-def annot_for_example(spark, sf_dir):
-    rows = spark.createDataFrame([g[:3] for g in _GOLDEN], "id int, annot string, text string")
-    return rows.select("id", A.annot_for_example("text", "annot").alias("annot"))
-
-
-@query()
-def extract_json(spark, sf_dir):
-    rows = spark.createDataFrame([(1, '[{"a":1}]'), (2, '[{"a":1},{"a":2}]'), (3, "none"), (4, '```json\n{"b": [1]}\n```')], "id int, text string")
-    return rows.select("id", A.extract_json("text").alias("json"))
-
-
 @query()
 def paragraphs(spark, sf_dir):
     rows = read(spark, sf_dir, "pages").select("page_id", H.document("html").alias("d"))
@@ -541,3 +493,7 @@ def validate_kb(spark, sf_dir):
     entries = entries.withColumn("level_rank", F.col("level_rank") + F.when(F.col("id").endswith("7"), 1).otherwise(0))
     vocabulary = entries.filter(F.lit(False)).select("path", "id", "language", "status", "examples", "related")
     return validate.validate(entries, vocabulary)
+
+
+# Modules that register more queries in the same tables.
+from lexiforge.plans import function_queries, source_queries  # noqa: E402, F401

@@ -11,6 +11,7 @@ def _struct(**fields) -> T.StructType:
 
 S, I, L, B = T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType()
 
+# Languages, levels, statuses, types, relations and limits of the knowledge base.
 LANGUAGES = ("ja", "ko", "th", "vi")
 LEVELS = {
     "ja": ("N5", "N4", "N3", "N2", "N1"),
@@ -62,6 +63,41 @@ RESULT = _struct(grammar_points=T.ArrayType(POINT))
 CANDIDATE = T.StructType([*_struct(book_id=S, chunk_idx=I, chunk_text=S, result=RESULT).fields, *RESULT.fields])
 
 
+def _json_type(kind: T.DataType) -> dict:
+    if isinstance(kind, T.StructType):
+        return {"type": "object", "properties": {f.name: _json_type(f.dataType) for f in kind}}
+    if isinstance(kind, T.ArrayType):
+        return {"type": "array", "items": _json_type(kind.elementType)}
+    if isinstance(kind, T.MapType):
+        return {"type": "object", "additionalProperties": _json_type(kind.valueType)}
+    return {"type": {"string": "string", "boolean": "boolean"}.get(kind.typeName(), "integer")}
+
+
+def json_schema(kind: str) -> dict:
+    """The JSON Schema of an entry: kinds of its fields with enumerations, patterns, limits and what is required."""
+    entry = GRAMMAR if kind == "grammar" else VOCAB
+    made = _json_type(T.StructType([f for f in entry if f.name != "path"]))
+    own = made["properties"]
+    own["id"]["pattern"] = ID_PATTERN
+    own["language"]["enum"], own["status"]["enum"] = list(LANGUAGES), list(STATUSES)
+    own["examples"]["maxItems"] = MAX_EXAMPLES
+    own["examples"]["items"]["properties"]["text"] |= {"minLength": 1, "maxLength": MAX_EXAMPLE_CHARS}
+    own["examples"]["items"]["required"] = ["text"]
+    own["related"]["properties"]["same_lang"]["items"]["properties"]["relation"]["enum"] = list(RELATIONS)
+    required = ["id", "language", "status"]
+    if kind == "grammar":
+        own["type"]["enum"] = list(GRAMMAR_TYPES)
+        own["level"]["enum"] = list(dict.fromkeys(level for levels in LEVELS.values() for level in levels))
+        own["level_rank"] |= {"minimum": 1, "maximum": max(LEVEL_RANK.values())}
+        made["allOf"] = [{"if": {"properties": {"language": {"const": lang}}}, "then": {"properties": {"level": {"enum": list(levels)}}}} for lang, levels in LEVELS.items()]
+        required += ["type", "level", "level_rank", "title"]
+    else:
+        required += ["word", "gloss_zh"]
+    return {"$schema": "https://json-schema.org/draft/2020-12/schema", "title": f"{kind}_entry", **made, "required": required}
+
+
 def json_schemas() -> dict[str, str]:
-    """The published schemas, as Spark's JSON."""
-    return {"grammar_entry": GRAMMAR.json(), "vocab_entry": VOCAB.json()}
+    """The published schemas as JSON text."""
+    import json
+
+    return {f"{kind}_entry": json.dumps(json_schema(kind), indent=2) for kind in ("grammar", "vocab")}

@@ -1,10 +1,13 @@
-"""Writers: Spark's committer gives whole outputs or none; a rerun overwrites."""
+"""Writers: Spark's committer gives whole outputs or none; a rerun overwrites.  Single files are written beside their name and
+renamed, so that a reader sees the old file or the new one."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiforge import storage
+
 
 def write_freq_tsv(freq: DataFrame, path: str) -> None:
     """A tab-separated table per language, in rank order within each file."""
@@ -35,6 +38,31 @@ def yaml_of(entries: DataFrame) -> DataFrame:
     return rows.mapInPandas(dump, "id string, yaml string")
 
 
+def write_files(rows: DataFrame, root: str) -> DataFrame:
+    """rows (name, value) as files root/name, by the workers; returns (name, bytes) of what was written, and writes when read."""
+
+    def write(batches):
+        import pandas as pd
+
+        store, path = storage.store_and_path(root)
+        for batch in batches:
+            sizes = []
+            for name, value in zip(batch["name"], batch["value"], strict=True):
+                content = value.encode() if isinstance(value, str) else bytes(value)
+                store.create_dir(f"{path}/{name}".rpartition("/")[0], recursive=True)
+                storage.write_whole(store, f"{path}/{name}", content)
+                sizes.append(len(content))
+            yield pd.DataFrame({"name": batch["name"], "bytes": sizes})
+
+    return rows.select("name", "value").mapInPandas(write, "name string, bytes long")
+
+
+def write_entry_files(entries: DataFrame, root: str, kind: str) -> int:
+    """One YAML file an entry, root/<kind>/<language>/<id>.yaml; returns how many."""
+    texts = yaml_of(entries).join(entries.select("id", "language"), "id")
+    return write_files(texts.select(F.concat(F.lit(f"{kind}/"), "language", F.lit("/"), "id", F.lit(".yaml")).alias("name"), F.col("yaml").alias("value")), root).count()
+
+
 def tutorial_text(tutorials: DataFrame) -> DataFrame:
     """(id, value): front matter and Markdown, without a code fence around it."""
     body = F.regexp_replace(F.regexp_replace("body", r"(?s)^\s*```(?:markdown|md)?\s*\n", ""), r"\n```\s*$", "")
@@ -42,6 +70,32 @@ def tutorial_text(tutorials: DataFrame) -> DataFrame:
     return tutorials.select("id", F.concat(head, body, F.lit("\n")).alias("value"))
 
 
+def write_tutorials(tutorials: DataFrame, root: str) -> int:
+    """One Markdown file a tutorial, root/<id>.md; returns how many."""
+    return write_files(tutorial_text(tutorials).select(F.concat("id", F.lit(".md")).alias("name"), "value"), root).count()
+
+
+def write_books(books: DataFrame, path: str) -> None:
+    """The list of books as one YAML file in its order; a registry, some thousand rows at most."""
+    import yaml
+
+    rows = [{k: v for k, v in r.asDict().items() if k != "book_ord"} for r in books.orderBy("book_ord").collect()]
+    storage.write_file(books.sparkSession, path, yaml.safe_dump(rows, allow_unicode=True, sort_keys=False))
+
+
+def push_enrich(spark: SparkSession, gate: DataFrame, source: str, target: str) -> DataFrame:
+    """(language, pushed, why): copies source/language=<x> to target/language=<x> where the batches are complete and the target isn't
+    there yet; gate: (language, done, total, complete), a row a language."""
+    made = []
+    for row in gate.orderBy("language").collect():
+        own, there = f"{source}/language={row.language}", f"{target}/language={row.language}"
+        why = "incomplete" if not row.complete else "exists" if storage.exists(spark, there) else "no source" if not storage.exists(spark, own) else None
+        if why is None:
+            spark.read.text(own).write.text(there)
+        made.append((row.language, why is None, why or "pushed"))
+    return spark.createDataFrame(made, "language string, pushed boolean, why string")
+
+
 def publish_books(books: DataFrame) -> DataFrame:
     """Books without what is internal."""
     return books.drop("sha256", "epub_path")
