@@ -76,13 +76,17 @@ def valid_annot(annot: Column, text: Column) -> Column:
     return F.coalesce((annot != "") & plain & ~bare, F.lit(False))
 
 
-def provenance_probe(text: Column, chunk: Column) -> Column:
-    """Whether the first 60 % (8 code points at least) of the example stand in its source; an empty source accepts all."""
-    norm, source = norm_for_match(text), norm_for_match(F.coalesce(chunk, F.lit("")))
+def probe_in(text: Column, source: Column) -> Column:
+    """Whether the first 60 % (8 code points at least) of the example stand in its normalised source; an empty source accepts all."""
+    norm = norm_for_match(text)
     probe = F.left(norm, F.greatest(F.lit(8), F.floor(F.length(norm) * F.lit(0.6)).cast("int")))
     return (source == "") | (probe == "") | F.contains(source, probe)
 
 
+def provenance_probe(text: Column, chunk: Column) -> Column:
+    return probe_in(text, norm_for_match(F.coalesce(chunk, F.lit(""))))
+
+
 def parse_annot(annot: Column) -> Column:
     """array<struct<base, read>>; read is '' where there is none.  The base takes all text since the last bracket."""
     bases, reads = (F.regexp_extract_all(annot, F.lit(ANNOTATED), F.lit(k)) for k in (1, 2))

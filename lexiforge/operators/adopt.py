@@ -4,18 +4,25 @@ Points are ordered by (file, position).  A point is kept with a legal level and
 source.  Points and entries with one (language, key) are a group: the entry, else the first point, owns it; the examples of
 the others are appended in order while there is room and their text is new.  New ids follow the order of creation.
 
+What is appended are the first texts, each at its first place, that the owner lacks, as many as there is room for: a minimum a
+text and two rows a group, so that no group is gathered, and one of very many points (the empty key) is like any other.
+
 Points whose level is out of the language's range go to the rejects unless their key has an owner.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexiforge import schemas
+from lexiforge import schemas, storage
 from lexiforge.functions import text as X
 from lexiforge.functions.annotate import annot_for_example
+from lexiforge.functions.text import let
+from lexiforge.operators.rank import numbered
 
 EXAMPLES = "array<struct<text:string,reading:string,annot:string,translation_zh:string,source_book:string>>"
 
@@ -29,9 +36,12 @@ def screened(rows: DataFrame, annotate: bool = True) -> DataFrame:
     """Points with level, level_rank, key and at most two examples that pass; others are left out."""
     empty = lambda c: F.coalesce(c, F.lit(""))
     clean = F.transform(F.coalesce("examples", F.array().cast("array<struct<text:string,annot:string,reading:string,translation_zh:string>>")), lambda e: F.struct(X.strip(empty(e["text"])).alias("text"), X.strip(empty(e["annot"])).alias("annot"), X.strip(empty(e["reading"])).alias("reading"), X.strip(empty(e["translation_zh"])).alias("translation_zh")))
-    ok = lambda e: (e["text"] != "") & (F.length(e["text"]) <= schemas.MAX_EXAMPLE_CHARS) & X.provenance_probe(e["text"], F.col("chunk_text"))
-    rows = rows.withColumns({"level": X.norm_level(F.col("language"), F.col("level")), "key": X.dedup_key(F.col("structure_pattern"), F.col("structure"), F.col("title_zh")), "kept": F.slice(F.filter(clean, ok), 1, schemas.MAX_EXAMPLES)})
-    rows = rows.filter(F.col("level").isNotNull() & (F.size("kept") > 0)).withColumn("level_rank", X.level_rank(F.col("level")))
+    rows = rows.withColumn("level", X.norm_level(F.col("language"), F.col("level"))).filter("level is not null")
+    fits = lambda e: (e["text"] != "") & (F.length(e["text"]) <= schemas.MAX_EXAMPLE_CHARS)
+    # the source is normalised once a point, not once an example
+    kept = let(X.norm_for_match(empty(F.col("chunk_text"))), lambda source: F.filter(clean, lambda e: fits(e) & X.probe_in(e["text"], source)))
+    rows = rows.withColumns({"key": X.dedup_key(F.col("structure_pattern"), F.col("structure"), F.col("title_zh")), "kept": F.slice(kept, 1, schemas.MAX_EXAMPLES)})
+    rows = rows.filter(F.size("kept") > 0).withColumn("level_rank", X.level_rank(F.col("level")))
     one = lambda k: F.get("kept", F.lit(k))
 
     def done(k):
@@ -42,62 +52,70 @@ def screened(rows: DataFrame, annotate: bool = True) -> DataFrame:
     return rows.withColumn("examples", F.array_compact(F.array(*[done(k) for k in range(schemas.MAX_EXAMPLES)])).cast(EXAMPLES)).drop("kept")
 
 
-def adopt(kept: DataFrame, kb: DataFrame, dedup: bool = True) -> DataFrame:
-    """kept: screened points; kb: (path, language, id, key, examples) of stored entries.
+@dataclass
+class Adopted:
+    """entries: (language, key, id, is_new, changed, examples, owner: the point's columns of a new one), those of the knowledge
+    base and new ones; outcomes: (language, key, path, pos, id, outcome) of every point: created, merged, no-op or rejected."""
+
+    entries: DataFrame
+    outcomes: DataFrame
+
 
-    Returns entries (language, key, id, is_new, changed, examples, owner columns of new ones, outcomes): outcomes is
-    array<struct<path, pos, outcome>> with created, merged, no-op or rejected for each point.
-    """
+def adopt(kept: DataFrame, kb: DataFrame, dedup: bool = True) -> Adopted:
+    """kept: screened points; kb: (path, language, id, key, examples) of stored entries; dedup: points of one key are one entry."""
     group = ["language", "key"] if dedup else ["language", "key", "path", "pos"]
-    order = F.struct("path", "pos")
+    at = F.struct("path", "pos")
     own = F.struct("level", "level_rank", "title_zh", "structure", "structure_pattern", "explanation_zh", "tags", "frequency_hint", "book_id")
-    per = kept.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col("level_rank").isNotNull().alias("legal"), F.col("examples").alias("ex"), own.alias("own")))).alias("p"))
+    points = storage.kept(kept.withColumns({"at": at, "own": own}), "screened")
+    legal = F.when(F.col("level_rank").isNotNull(), F.col("at"))
+    # without an entry the first legal point creates one; earlier ones are rejected
+    first = points.groupBy(*group).agg(F.min(legal).alias("made"), F.min_by(F.struct("examples", "own"), legal).alias("owner"))
     if dedup:
         index = kb.groupBy("language", "key").agg(F.max_by(F.struct("id", "examples"), "path").alias("hit"))
-        per = per.join(index, ["language", "key"], "full")
+        per = first.join(index, ["language", "key"], "full")
     else:
-        per = per.withColumn("hit", F.lit(None).cast(f"struct<id:string,examples:{EXAMPLES}>"))
-    rows = F.coalesce("p", F.array().cast(dict(per.dtypes)["p"]))
-    # without an entry the first legal point creates one; earlier ones are rejected
-    legal = F.array_position(F.transform(rows, lambda r: r["legal"]), True)
-    start = F.when(F.col("hit").isNotNull(), 0).otherwise(legal).cast("int")
-    per = per.withColumn("p", rows).withColumn("start", start)
-    later = F.when((F.col("start") == 0) & F.col("hit").isNull(), F.slice("p", 1, 0)).otherwise(F.slice("p", F.col("start") + 1, F.size("p") + 1))
-    creates = F.col("hit").isNull() & (F.col("start") > 0)
-    seed = F.when(F.col("hit").isNotNull(), F.coalesce("hit.examples", F.array().cast(EXAMPLES))).when(creates, F.get("p", F.col("start") - 1)["ex"]).otherwise(F.array().cast(EXAMPLES))
-    outcome = lambda r, what: F.struct(r["o"]["path"].alias("path"), r["o"]["pos"].alias("pos"), what.alias("outcome"))
-    none = F.array().cast("array<struct<path:string,pos:int,outcome:string>>")
-    before = F.when(F.col("hit").isNull() & (F.col("start") != 1), F.transform(F.slice("p", 1, F.when(F.col("start") > 0, F.col("start") - 1).otherwise(F.size("p"))), lambda r: outcome(r, F.lit("rejected")))).otherwise(none)
-    first = F.when(creates, F.array(outcome(F.get("p", F.col("start") - 1), F.lit("created")))).otherwise(none)
-
-    def merge(s, r):
-        grown = F.aggregate(r["ex"], s["ex"], lambda have, new: X.merge_example(have, new))
-        what = F.when(F.size(grown) > F.size(s["ex"]), "merged").otherwise("no-op")
-        return F.struct(grown.alias("ex"), F.concat(s["out"], F.array(outcome(r, what))).alias("out"))
-
-    per = per.withColumn("state", F.aggregate(later, F.struct(seed.alias("ex"), F.concat(before, first).alias("out")), merge))
-    out = per.select(
-        "language", "key", F.col("hit.id").alias("old_id"), creates.alias("is_new"), F.when(creates, F.get("p", F.col("start") - 1)).alias("owner"),
-        F.col("state.ex").alias("examples"), F.col("state.out").alias("outcomes"),
+        per = first.withColumn("hit", F.lit(None).cast(f"struct<id:string,examples:{EXAMPLES}>"))
+    none = F.array().cast(EXAMPLES)
+    seed = F.when(F.col("hit").isNotNull(), F.coalesce("hit.examples", none)).otherwise(F.coalesce("owner.examples", none))
+    per = per.select(*group, "made", F.col("hit.id").alias("old_id"), F.col("hit").isNotNull().alias("known"), seed.alias("seed"), F.col("owner.own").alias("own"))
+    per = storage.kept(per.withColumn("is_new", ~F.col("known") & F.col("made").isNotNull()), "groups")
+    room = schemas.MAX_EXAMPLES - F.size("seed")
+    open_ = per.filter((room > 0) & (F.col("known") | F.col("is_new"))).select(*group, "made", "known", room.alias("room"), F.transform("seed", lambda e: X.squeeze(e["text"])).alias("have"))
+    later = points.select(*group, "at", "examples").join(open_, group).filter(F.col("known") | (F.col("at") > F.col("made")))
+    new = later.select(*group, "room", "have", F.posexplode("examples").alias("nth", "e"), "at").withColumn("text", X.squeeze(F.col("e.text")))
+    new = new.filter((F.col("text") != "") & ~F.array_contains("have", F.col("text")))
+    place = F.struct("at", "nth")
+    new = new.groupBy(*group, "room", "text").agg(F.min(place).alias("place"), F.min_by("e", place).alias("e"))
+    new = new.withColumn("n", F.row_number().over(W.partitionBy(*group).orderBy("place"))).filter(F.col("n") <= schemas.MAX_EXAMPLES).filter("n <= room")
+    taken = new.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("n", F.col("place.at").alias("at"), "e"))).alias("taken"))
+    per = per.join(taken, group, "left").withColumn("taken", F.coalesce("taken", F.array().cast(dict(taken.dtypes)["taken"])))
+    ids = _new_ids(per.filter("is_new").select(*group, "made.path", "made.pos") if dedup else per.filter("is_new").select(*group), group, kb)
+    per = storage.kept(per.join(ids, group, "left").withColumn("id", F.coalesce("old_id", "new_id")), "adopted")
+    entries = per.filter("known or is_new").select("language", "key", "id", "is_new", (F.col("is_new") | (F.size("taken") > 0)).alias("changed"), F.concat("seed", F.transform("taken", lambda t: t["e"])).alias("examples"), F.when(F.col("is_new"), F.col("own")).alias("owner"))
+    known = per.select(*group, "id", "known", "made", F.transform("taken", lambda t: t["at"]).alias("taken"))
+    rows = points.select("language", "key", "path", "pos", "at").join(known, group)
+    outcome = (
+        F.when(~F.col("known") & (F.col("made").isNull() | (F.col("at") < F.col("made"))), "rejected").when(~F.col("known") & (F.col("at") == F.col("made")), "created")
+        .when(F.array_contains("taken", F.col("at")), "merged").otherwise("no-op")
     )
+    return Adopted(entries, rows.select("language", "key", "path", "pos", "id", outcome.alias("outcome")))
+
+
+def _new_ids(new: DataFrame, group: list[str], kb: DataFrame) -> DataFrame:
+    """(group..., new_id) of (group..., path, pos): numbers behind the language's last one, in order of creation."""
     last = kb.groupBy("language").agg(F.max(F.regexp_extract("id", r"-grm-(\d+)$", 1).cast("int")).alias("last"))
-    out = out.join(last, "language", "left")
-    place = F.row_number().over(W.partitionBy("language", "is_new").orderBy(F.col("owner.o")))
-    new_id = F.format_string("%s-grm-%05d", "language", F.coalesce("last", F.lit(0)) + place)
-    changed = F.exists("outcomes", lambda o: o["outcome"].isin("created", "merged"))
-    return out.select("language", "key", F.when(F.col("is_new"), new_id).otherwise(F.col("old_id")).alias("id"), "is_new", changed.alias("changed"), "examples", F.col("owner.own").alias("owner"), "outcomes")
+    rows = numbered(new, ["language"], ["path", "pos"], "place").join(last, "language", "left")
+    return rows.select(*group, F.format_string("%s-grm-%05d", "language", F.coalesce("last", F.lit(0)) + F.col("place")).alias("new_id"))
 
 
-def outcomes(adopted: DataFrame) -> DataFrame:
+def outcomes(adopted: Adopted) -> DataFrame:
     """(language, path, pos, id, outcome) per point."""
-    rows = adopted.select("language", "id", F.explode("outcomes").alias("o"))
-    return rows.select("language", "o.path", "o.pos", "id", "o.outcome")
+    return adopted.outcomes.select("language", "path", "pos", "id", "outcome")
 
 
-def counts(adopted: DataFrame) -> DataFrame:
+def counts(adopted: Adopted) -> DataFrame:
     """(language, created, merged)."""
-    o = outcomes(adopted)
-    return o.groupBy("language").agg(F.count_if(F.col("outcome") == "created").alias("created"), F.count_if(F.col("outcome") == "merged").alias("merged"))
+    return adopted.outcomes.groupBy("language").agg(F.count_if(F.col("outcome") == "created").alias("created"), F.count_if(F.col("outcome") == "merged").alias("merged"))
 
 
 def kb_index(entries: DataFrame) -> DataFrame:
@@ -106,7 +124,7 @@ def kb_index(entries: DataFrame) -> DataFrame:
     return entries.select("path", "language", "id", key.alias("key"), F.transform("examples", lambda e: F.struct(*[e[c].alias(c) for c in ("text", "reading", "annot", "translation_zh", "source_book")])).cast(EXAMPLES).alias("examples"))
 
 
-def new_entries(adopted: DataFrame, today: str, extracted_by: str) -> DataFrame:
+def new_entries(adopted: Adopted, today: str, extracted_by: str) -> DataFrame:
     """The created entries in the knowledge base's form."""
     o = F.col("owner")
     empty = lambda c: X.strip(F.coalesce(c, F.lit("")))
@@ -114,7 +132,7 @@ def new_entries(adopted: DataFrame, today: str, extracted_by: str) -> DataFrame:
     prov = F.struct(F.array(o["book_id"]).alias("discovered_in"), F.lit(True).alias("discovered_is_scalar"), F.lit(None).cast("int").alias("first_seen_chapter"), frequency_hint(o["frequency_hint"]).alias("frequency_hint"), F.lit(extracted_by).alias("extracted_by"), F.lit(today).alias("extracted_at"))
     related = F.struct(F.array().cast("array<string>").alias("cross_lang"), F.array().cast("array<struct<id:string,relation:string>>").alias("same_lang"))
     path = F.concat(F.lit("grammar/"), "language", F.lit("/"), "id", F.lit(".yaml"))
-    return adopted.filter("is_new").select(
+    return adopted.entries.filter("is_new").select(
         path.alias("path"), "id", "language", F.lit("grammar").alias("type"), o["level"].alias("level"), o["level_rank"].alias("level_rank"), empty(o["title_zh"]).alias("title"),
         empty(o["structure"]).alias("structure"), empty(o["structure_pattern"]).alias("structure_pattern"), empty(o["explanation_zh"]).alias("explanation_zh"), full.alias("examples"),
         related.alias("related"), F.coalesce(o["tags"], F.array().cast("array<string>")).alias("tags"), prov.alias("provenance"), F.lit("draft").alias("status"), F.lit("").alias("review_note"),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexiforge import schemas
-from lexiforge.operators import adopt, books, canary, chunk, freq, ledger, lookup, publish, search, validate, vocab
+from lexiforge.operators import adopt, books, canary, chunk, freq, ledger, lookup, publish, rank, search, validate, vocab
 
 
 def rows(df, *columns):
@@ -21,6 +21,16 @@ def test_ranks_break_ties_by_first_occurrence(spark):
     assert rows(freq.modal_value(pos, ["key"], "pos", "o"), "key", "modal") == [("k", "v"), ("z", "")]
 
 
+@pytest.mark.parametrize("run", [1000, 7])
+def test_numbers_don_t_depend_on_parts(spark, run):
+    rng = random.Random(run)
+    data = [(rng.choice(["a", "a", "a", "b", None]), -rng.randint(1, 3), k) for k in range(300)]
+    df = spark.createDataFrame(data, "g string, c int, o int").repartition(5)
+    got = rank.numbered(df, ["g"], ["c", "o"], "n", run=run).collect()
+    want = {g: sorted(x[1:] for x in data if x[0] == g) for g in ("a", "b", None)}
+    assert len(got) == 300 and all(want[r.g][r.n - 1] == (r.c, r.o) for r in got)
+
+
 def test_candidates_keep_ranks(spark):
     f = spark.createDataFrame([("x", 1, "the", 90, 9), ("x", 2, "a", 80, 9), ("x", 3, "cat", 30, 1), ("x", 4, "dog", 5, 3), ("x", 5, "rat", 29, 2)], "language string, rank int, key string, count long, doc_count long")
     stops = spark.createDataFrame([("x", "the")], "language string, word string")
@@ -87,10 +97,11 @@ def test_adopt_equals_the_sequential_rule(spark, seed):
     done = adopt.adopt(kept, base)
     index, outcome = sequential_adopt(points, kb)
     assert rows(adopt.outcomes(done), "path", "pos", "outcome") == outcome
-    got = {(r.language, r.key): (r.id, [e.text for e in r.examples]) for r in done.collect() if r.id}
+    got = {(r.language, r.key): (r.id, [e.text for e in r.examples]) for r in done.entries.collect()}
     assert got == index
+    assert {(r.language, r.key) for r in done.entries.filter("changed").collect()} == {(p[2], p[3]) for p in points for o in outcome if o[:2] == p[:2] and o[2] in ("created", "merged")}
     alone = adopt.adopt(kept.filter("level_rank is not null"), base, dedup=False)
-    assert alone.filter("is_new").count() == sum(p[4] is not None for p in points)
+    assert alone.entries.filter("is_new").count() == sum(p[4] is not None for p in points)
 
 
 def test_screened_examples(spark):
