@@ -5,7 +5,8 @@ sets of five-word shingles is 0.8 or more.  Candidates for the second come from
 order for the whole table (those common in a sample last, else by hash); of two alike sets of n and m the first
 n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 in that order share a shingle (prefix filter).  Documents of such a shingle are
 compared if their sizes and its places in both allow the likeness, then by parity prints (sets that differ in d shingles
-differ in d bits at most), and what is left is verified on the whole sets.  The sample decides only the cost.
+differ in d bits at most; with four bits a shingle little below the likeness passes), and what is left is verified on the whole
+sets: first one pair a document, then what the links found leave in different components.  The sample decides only the cost.
 
 A shingle that the sample shows as common, or that over HOT documents hold, is crowded: no task takes its documents at once.
 Every document meets LEADERS of them; then, of the components that the links so far leave, all but the largest meet all
@@ -29,14 +30,18 @@ from lexiforge.llm._shared import arrow_texts, discard, fresh, sized_broadcast,
 from lexiforge.llm.simhash import components, links, simhash
 
 SIMILARITY, SHINGLE = 0.8, 5
-HOT, CHUNK, LEADERS = 32, 2048, 3
+HOT, CHUNK, LEADERS = 32, 512, 3
 #: Documents of the sample that orders shingles, its smallest share, and how many common shingles are kept.
 SAMPLE, SHARE, COMMON = 20_000, 16, 100_000
-PARITY_BITS, STEP_ROWS = 2048, 200_000
+STEP_ROWS = 200_000
+#: Bits of a parity print: powers of two, this many times the set's size or more.
+PARITY, LEAST_BITS, MOST_BITS = 4, 512, 1 << 16
+#: Bytes of a shingle's hash that verification compares; two of a pair's shingles are equal by chance once in 2^40.
+KEPT = 5
 #: Pairs of one document that meet one copy of its set.
 PAIRS_OF_ONE = 4096
-#: Pairs whose parity prints are compared at once.
-COMPARED = 50_000
+#: Words of parity prints that are compared at once.
+COMPARED = 1_000_000
 
 
 def shingles(data: bytes, size: int = SHINGLE):
@@ -67,11 +72,39 @@ def likeness(a, b) -> float:
 
 
 def parity(found) -> bytes:
-    """Per bit whether an odd number of shingles falls on it: sets that differ in d shingles differ in d bits at most."""
+    """Per bit whether an odd number of shingles falls on it: sets that differ in d shingles differ in d bits at most.
+
+    A print of twice the bits folds into one of half: its halves, one over the other.
+    """
+    import numpy as np
+
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (PARITY * max(1, len(found)) - 1).bit_length()))
+    spots = (found.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(spots.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(bits, words: int):
+    """Rows of prints, as 64-bit words, folded to so many words."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def packed(found) -> bytes:
+    """The low KEPT bytes of each hash, sorted."""
+    import numpy as np
+
+    low = np.sort(found.view(np.uint64) & np.uint64((1 << 8 * KEPT) - 1))
+    return low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
+
+
+def unpacked(raw: bytes):
     import numpy as np
 
-    spots = found.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - int(math.log2(PARITY_BITS)))
-    return np.packbits((np.bincount(spots.astype(np.int64), minlength=PARITY_BITS) & 1).astype(np.uint8)).tobytes()
+    wide = np.zeros((len(raw) // KEPT, 8), np.uint8)
+    wide[:, :KEPT] = np.frombuffer(raw, np.uint8).reshape(-1, KEPT)
+    return wide.view("<u8").ravel()
 
 
 def may_differ(n, m, similarity: float):
@@ -93,7 +126,7 @@ def _sets(batches):
     import pyarrow as pa
 
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(shingles, _texts(batch))), pa.list_(pa.int64()))], ["doc", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([packed(shingles(x)) for x in _texts(batch)], pa.binary())], ["doc", "shingles"])
 
 
 def _singly(batches):
@@ -238,10 +271,33 @@ def _led(members: DataFrame, similarity: float) -> DataFrame:
     return rows.select(F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b"))
 
 
-def _bits(column):
-    import numpy as np
+class Prints:
+    """Parity prints of several sizes."""
+
+    def __init__(self, column):
+        import numpy as np
+
+        raw = column.to_pylist()
+        self.words = np.array([len(x) // 8 for x in raw], np.int64)
+        self.place, self.rows = np.zeros(len(raw), np.int64), {}
+        for words in np.unique(self.words).tolist():
+            own = np.flatnonzero(self.words == words)
+            self.place[own] = np.arange(len(own))
+            self.rows[words] = np.frombuffer(b"".join(raw[k] for k in own), np.uint64).reshape(len(own), words)
 
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), PARITY_BITS // 64)
+    def differ(self, a, other: Prints, b):
+        """In how many bits the prints a and those b of the other differ, at the smaller size of each two; index arrays."""
+        import numpy as np
+
+        out, sizes = np.zeros(len(a), np.int64), self.words[a] * (1 << 20) + other.words[b]
+        for size in np.unique(sizes).tolist():
+            x, y = divmod(size, 1 << 20)
+            at, least = np.flatnonzero(sizes == size), min(x, y)
+            for k in range(0, len(at), max(1, COMPARED // least)):
+                some = at[k : k + max(1, COMPARED // least)]
+                one, two = (folded(p.rows[w][p.place[i[some]]], least) for p, w, i in ((self, x, a), (other, y, b)))
+                out[some] = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+        return out
 
 
 def _crossing(similarity: float):
@@ -251,7 +307,7 @@ def _crossing(similarity: float):
         import numpy as np
 
         doc, root, span, probe, other = (table.column(c).to_numpy() for c in ("doc", "root", "span", "probe", "other"))
-        bits = _bits(table.column("parity"))
+        prints = Prints(table.column("parity"))
         n, place = span >> 32, span & 0xFFFFFFFF
         left, right = np.flatnonzero(probe), np.flatnonzero(~probe)
         for at in range(0, len(left), 64):
@@ -260,10 +316,9 @@ def _crossing(similarity: float):
             good &= fits(n[i], n[right], place[i], place[right], similarity)
             x, y = np.nonzero(good)
             x, y = left[at + x], right[y]
-            for k in range(0, len(x), COMPARED):
-                a, b = x[k : k + COMPARED], y[k : k + COMPARED]
-                near = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64) <= may_differ(n[a], n[b], similarity)
-                yield np.stack([np.minimum(doc[a], doc[b])[near], np.maximum(doc[a], doc[b])[near]], 1)
+            near = prints.differ(x, prints, y) <= may_differ(n[x], n[y], similarity)
+            x, y = x[near], y[near]
+            yield np.stack([np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])], 1)
 
     def crossing(batches):
         import numpy as np
@@ -298,7 +353,7 @@ def _verified(similarity: float):
 
         for batch in batches:
             x, y = batch.column(2), batch.column(3)
-            good = [likeness(x[k].values.to_numpy(), y[k].values.to_numpy()) >= similarity for k in range(batch.num_rows)]
+            good = [likeness(unpacked(x[k].as_py()), unpacked(y[k].as_py())) >= similarity for k in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in (batch.column(0), batch.column(1))], ["a", "b"])
 
     return verified
@@ -313,8 +368,8 @@ def _near(similarity: float):
 
         for batch in batches:
             n, m = (batch.column(k).to_numpy() for k in (2, 3))
-            x, y = (_bits(batch.column(k)) for k in (4, 5))
-            good = pa.array(np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= may_differ(n, m, similarity))
+            x, y, all_ = Prints(batch.column(4)), Prints(batch.column(5)), np.arange(batch.num_rows)
+            good = pa.array(x.differ(all_, y, all_) <= may_differ(n, m, similarity))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(good) for k in (0, 1)], ["a", "b"])
 
     return near
@@ -343,7 +398,7 @@ def _alike(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b), a stored table, whose shingle sets are alike."""
     needed = _needed(pairs)
     texts = docs.select("doc", "text").join(sized_broadcast(needed, needed.count()), "doc", "left_semi")
-    sets = stored(texts.mapInArrow(trimmed(_sets), "doc long, shingles array<long>"), "shingles")
+    sets = stored(texts.mapInArrow(trimmed(_sets), "doc long, shingles binary"), "shingles")
     both = _with(_with(pairs, "a", sets, {"shingles": "x"}), "b", sets, {"shingles": "y"}).select("a", "b", "x", "y")
     out = stored(both.mapInArrow(trimmed(_verified(similarity)), "a long, b long"), "alike")
     discard(sets, needed)
@@ -360,9 +415,34 @@ def _close(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
     return out
 
 
-def _cells(members: DataFrame, sketch: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows (key, lo, hi, ...): for every crowded key, the documents outside of its largest component against all."""
+def _joined(pairs: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """pairs (a, b), a stored table, to edges of alike pairs that join what all alike ones join, and to (doc, root) of the edges.
+
+    One pair a document, with the partner of the smallest hash, is verified first: most of the others fall into one component then.
+    """
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    one = both.groupBy("a").agg(F.min_by("b", F.struct(F.xxhash64("b"), "b")).alias("b"))
+    one = stored(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "one-pair")
+    edges = _alike(one, docs, similarity)
     roots = components(edges).select(F.col("node").alias("doc"), "root")
+    rest = pairs.join(one, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        rest = rest.join(roots.select(F.col("doc").alias(end), F.col("root").alias(f"r{end}")), end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
+    rest = stored(rest.filter("ra <> rb").select("a", "b", "ra", "rb"), "rest")
+    if not rest.limit(1).count():
+        return edges, roots
+    more = _alike(rest.select("a", "b"), docs, similarity)
+    # the components of the new links between the old components
+    between = more.join(rest, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    tops = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    known = roots.unionByName(tops.select(F.col("root").alias("doc"), "root")).distinct()  # roots of single documents count too
+    roots = stored(known.join(tops, "root", "left").select("doc", F.coalesce("top", "root").alias("root")).distinct(), "roots")
+    discard(one, rest)
+    return edges.unionByName(more), roots
+
+
+def _cells(members: DataFrame, sketch: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (key, lo, hi, ...): for every crowded key, the documents outside of its largest component against all."""
     labelled = stored(members.join(roots, "doc", "left").withColumn("root", F.coalesce("root", "doc")), "labelled")
     sizes = labelled.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("all"), F.max(F.struct("count", "root")).alias("top"))
     chunks = lambda c: F.ceil(c / CHUNK).cast("int")
@@ -391,11 +471,11 @@ def alike_edges(docs: DataFrame, sketch: DataFrame, similarity: float = SIMILARI
     pairs = found.filter("b is not null").select("a", "b").unionByName(_led(members, similarity))
     pairs = stored(pairs.distinct(), "pairs")
     close = _close(pairs, sketch, similarity)
-    edges = _alike(close, docs, similarity)
+    edges, roots = _joined(close, docs, similarity)
     discard(first, found, pairs, close)
     if members.limit(1).count():
-        crossing = stored(_cells(members, sketch, edges).mapInArrow(trimmed(_crossing(similarity)), "a long, b long").distinct(), "crossing")
-        edges = edges.unionByName(_alike(crossing, docs, similarity))
+        crossing = stored(_cells(members, sketch, roots).mapInArrow(trimmed(_crossing(similarity)), "a long, b long").distinct(), "crossing")
+        edges = edges.unionByName(_joined(crossing, docs, similarity)[0])
         discard(crossing)
     discard(members)
     return edges.unionByName(again)

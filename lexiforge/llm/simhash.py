@@ -182,7 +182,8 @@ def components(edges: DataFrame) -> DataFrame:
         hook, moved = stored(hook, f"hooks-{turn}"), True
         while moved:  # halve the ways to the roots
             up = hook.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            jumped = hook.join(up, "root").select("node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved"))
+            jumped = hook.join(up, "root").select("node", F.col("root").alias("old"), F.col("top").alias("root"))
+            jumped = jumped.join(up, "root").select("node", F.col("top").alias("root"), (F.col("top") != F.col("old")).alias("moved"))
             jumped = stored(jumped, f"jumps-{turn}")
             moved = jumped.filter("moved").limit(1).count()
             discard(hook)
