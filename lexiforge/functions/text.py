@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -121,6 +123,15 @@ def template_version(c: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(c, r"^\s*version:\s*(\S+)", 1), F.lit("")), F.lit("0"))
 
 
+def render(template: str, **values: Column) -> Column:
+    """The template with every {{ name }} filled in; a null value is empty, a name without a value is refused."""
+    parts, end = [], 0
+    for m in re.finditer(r"\{\{\s*(\w+)\s*\}\}", template):
+        parts += [F.lit(template[end : m.start()]), F.coalesce(values[m[1]].cast("string"), F.lit(""))]
+        end = m.end()
+    return F.concat(*parts, F.lit(template[end:]))
+
+
 def has_kanji(c: Column) -> Column:
     return c.rlike(HAN)
 

@@ -144,6 +144,11 @@ def frequency_hint(raw):
     return F.when(raw.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), F.expr("1").cast("int") * 0 + raw.try_cast("double").cast("int"))
 
 
+def first_entries(entries: DataFrame, limit: int = 0, order: str = "path") -> DataFrame:
+    """The first entries in order; 0: all of them."""
+    return entries.orderBy(order).limit(limit) if limit else entries
+
+
 def rewrite(entries: DataFrame, rewrites: DataFrame, most_tags: int = 5) -> DataFrame:
     """Entries with the rewritten title, structure, pattern, explanation and tags of rewrites (id, ...), where there are any."""
     new = rewrites.select("id", *[F.col(c).alias(f"__{c}") for c in ("title", "structure", "structure_pattern", "explanation_zh", "tags")])

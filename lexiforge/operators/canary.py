@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiforge import storage
 from lexiforge.schemas import CANARY_CHARS
 
 BLOCK = 8
@@ -26,22 +27,29 @@ def probes(canaries: DataFrame) -> DataFrame:
 
 
 def containment(texts: DataFrame, needles: DataFrame, text: str = "text", probe: str = "probe") -> DataFrame:
-    """texts joined with needles that stand in them, exactly, without comparing all pairs.
+    """texts joined with needles that stand in them, exactly, without comparing all pairs; repeated rows stay rows of their own.
 
     A needle of 2 * BLOCK - 1 code points or more covers a whole aligned block of any text that holds it: aligned blocks
-    of texts meet all blocks of needles in an equi-join, and only those pairs are compared.  Shorter needles, few as they
-    are, are compared with every text.
+    of texts meet all blocks of needles in an equi-join on narrow rows (row, block), and only the pairs found meet the texts
+    again.  A shorter needle that has BLOCK code points meets the blocks at every place of the texts; still shorter ones, few
+    as they are, are compared with every text.
     """
-    needles = needles.withColumn("__needle", F.monotonically_increasing_id())
-    long_ = needles.filter(F.length(probe) >= 2 * BLOCK - 1)
-    short = needles.filter(F.length(probe) < 2 * BLOCK - 1)
-    blocks = F.array_distinct(F.regexp_extract_all(text, F.lit("(?s).{%d}" % BLOCK), F.lit(0)))
-    left = texts.withColumn("__block", F.explode(blocks))
-    starts = F.sequence(F.lit(1), F.length(probe) - (BLOCK - 1))
-    grams = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(probe), i, F.lit(BLOCK))))
-    right = long_.withColumn("__block", F.explode(grams))
-    pairs = left.join(right, "__block").filter(F.contains(text, probe)).drop("__block").dropDuplicates(["__needle", *texts.columns])
-    return pairs.unionByName(texts.join(short, F.contains(F.col(text), F.col(probe)))).drop("__needle")
+    texts = storage.kept(texts.withColumn("__row", F.monotonically_increasing_id()), "texts")
+    needles = storage.kept(needles.withColumn("__needle", F.monotonically_increasing_id()), "needles")
+    size, cut = F.length(probe), lambda c, i: F.substring(F.col(c), i, F.lit(BLOCK))
+    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (BLOCK - 1)), lambda i: cut(c, i)))
+    aligned = F.array_distinct(F.regexp_extract_all(text, F.lit("(?s).{%d}" % BLOCK), F.lit(0)))
+    long_ = needles.filter(size >= 2 * BLOCK - 1).select("__needle", F.explode(grams(probe)).alias("__block"))
+    pairs = texts.select("__row", F.explode(aligned).alias("__block")).join(long_, "__block").select("__row", "__needle")
+    middle = needles.filter(size.between(BLOCK, 2 * BLOCK - 2)).select("__needle", F.left(probe, F.lit(BLOCK)).alias("__block"))
+    if middle.limit(1).count():
+        pairs = pairs.unionByName(texts.filter(F.length(text) >= BLOCK).select("__row", F.explode(grams(text)).alias("__block")).join(middle, "__block").select("__row", "__needle"))
+    found = pairs.distinct().join(needles, "__needle").join(texts, "__row").filter(F.contains(text, probe))
+    short = needles.filter(size < BLOCK)
+    out = found.select(*texts.columns, *needles.columns)
+    if short.limit(1).count():
+        out = out.unionByName(texts.join(short, F.contains(F.col(text), F.col(probe))).select(*texts.columns, *needles.columns))
+    return out.drop("__needle", "__row")
 
 
 def leaks(published: DataFrame, canaries: DataFrame) -> DataFrame:

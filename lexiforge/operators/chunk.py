@@ -85,3 +85,21 @@ def tasks(chunked: DataFrame, version: str) -> DataFrame:
 def window_of(chunked: DataFrame, start: int = 0, most: int = 5) -> DataFrame:
     """Chunks start..start+most-1 of each book."""
     return chunked.filter(F.col("chunk_idx").between(start, start + most - 1))
+
+
+def prompts(chunked: DataFrame, template: str, version: str) -> DataFrame:
+    """(task_id, book_id, chunk_idx, prompt): what an external model is asked about each chunk."""
+    from lexiforge.functions.text import render
+
+    ids = tasks(chunked, version)
+    filled = render(template, book_id=F.col("book_id"), chunk_idx=F.col("chunk_idx"), text=F.col("text"))
+    return chunked.join(ids, ["book_id", "chunk_idx"]).select("task_id", "book_id", "chunk_idx", filled.alias("prompt"))
+
+
+def results(answers: DataFrame, asked: DataFrame) -> DataFrame:
+    """(task_id, book_id, chunk_idx, json, error) of answers (task_id, text): the JSON of each, or why there is none."""
+    from lexiforge.functions.annotate import extract_json
+
+    rows = asked.select("task_id", "book_id", "chunk_idx").join(answers, "task_id", "left").withColumn("json", extract_json("text"))
+    error = F.when(F.col("text").isNull(), "no answer").when(F.col("json").isNull(), "no JSON")
+    return rows.select("task_id", "book_id", "chunk_idx", "json", error.alias("error"))

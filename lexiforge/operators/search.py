@@ -21,6 +21,15 @@ def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.groupBy("term", "id", "doc_len").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
+def lookup(docs: DataFrame, id_col: str, text_col: str, query: str) -> tuple[DataFrame, int, float]:
+    """(postings of the query's terms, documents with a word, their mean length) straight from the texts, without the whole index."""
+    terms = sorted({t for t in query.lower().split() if t})
+    rows = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w")).withColumn("doc_len", F.size("w").cast("long")).filter("doc_len > 0")
+    n, mean = rows.agg(F.count("*"), F.avg("doc_len")).first()
+    hits = rows.select("id", "doc_len", F.posexplode(F.filter("w", lambda x: x.isin(terms) if terms else F.lit(False))).alias("nth", "term"))
+    return hits.groupBy("term", "id", "doc_len").agg(F.count("*").alias("tf")), n, mean
+
+
 def search(postings: DataFrame, docs: DataFrame, query: str, facets: dict | None = None, id_col: str = "id", sort: str | None = None, page: int = 1, size: int = PAGE_SEARCH, n_docs: int | None = None, mean_len: float | None = None) -> DataFrame:
     """One page of hits (all query terms) with score, place and total; an empty query has none.
 
@@ -43,6 +52,8 @@ def search(postings: DataFrame, docs: DataFrame, query: str, facets: dict | None
     return hits.orderBy(*by, id_col).offset((max(1, page) - 1) * size).limit(size).crossJoin(F.broadcast(total))
 
 
-def facet_counts(docs: DataFrame, column: str) -> DataFrame:
-    """(value, n) of non-empty facet values, sorted."""
-    return docs.filter(F.coalesce(F.col(column).cast("string"), F.lit("")) != "").groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).orderBy("value")
+def facet_counts(docs: DataFrame, column: str, order: str | None = None) -> DataFrame:
+    """(value, n) of non-empty facet values, sorted by the value or by the least `order` of its documents (a rank)."""
+    key = F.min(order if order else column)
+    rows = docs.filter(F.coalesce(F.col(column).cast("string"), F.lit("")) != "").groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"), key.alias("__key"))
+    return rows.orderBy("__key", "value").drop("__key")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexiforge.functions import html as H
 from lexiforge.functions import text as X
-from lexiforge.operators import adopt, books, canary, chunk, freq, ledger, publish, search, validate, vocab
+from lexiforge.operators import books, canary, chunk, freq, ledger, publish, search, validate, vocab
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -442,9 +442,11 @@ def paragraphs(spark, sf_dir):
     return rows.select("page_id", "d.title", F.posexplode("d.paras").alias("para_idx", "p")).select("page_id", "title", "para_idx", "p.text", "p.annot")
 
 
-@query(r"SELECT term, doc_id AS id, count(*) AS tf FROM (SELECT doc_id, lower(unnest(list_filter(string_split_regex(text, '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> ''))) AS term FROM documents) GROUP BY ALL")
+@query(r"""WITH w AS (SELECT doc_id, list_filter(string_split_regex(text, '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM documents), t AS (SELECT doc_id, lower(unnest(w)) AS term, generate_subscripts(w, 1) - 1 AS pos FROM w)
+SELECT term, doc_id AS id, count(*) AS tf, sha256(string_agg(pos, ' ' ORDER BY pos)) AS positions FROM t GROUP BY ALL""")
 def index_build(spark, sf_dir):
-    return search.index(read(spark, sf_dir, "documents"), "doc_id", "text").select("term", "id", "tf")
+    rows = search.index(read(spark, sf_dir, "documents"), "doc_id", "text")
+    return rows.select("term", "id", "tf", F.sha2(F.array_join(F.col("positions").cast("array<string>"), " "), 256).alias("positions"))
 
 
 @query(r"""WITH w AS (SELECT doc_id, lang, source, list_transform(list_filter(string_split_regex(text, '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> ''), lambda x: lower(x)) AS w FROM documents),
@@ -455,45 +457,10 @@ k AS (SELECT doc_id, score, lang FROM s WHERE terms = 1 AND lang IN ('en', 'de')
 SELECT doc_id, score, lang, (SELECT count(*) FROM k) AS total FROM k ORDER BY score DESC, doc_id LIMIT 8""".replace("IN ('the', 'tion')", "IN ('the')"))
 def search_page(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    postings = search.index(docs, "doc_id", "text")
-    found = search.search(postings, docs.select("doc_id", "lang", "source"), "the", {"lang": ["en", "de"], "source": ["src1", "src2"]}, "doc_id")
+    postings, n, mean = search.lookup(docs, "doc_id", "text", "the")
+    found = search.search(postings, docs.select("doc_id", "lang", "source"), "the", {"lang": ["en", "de"], "source": ["src1", "src2"]}, "doc_id", n_docs=n, mean_len=mean)
     return found.select("doc_id", "score", "lang", "total")
 
 
-def _points(spark, sf_dir):
-    """Documents as extracted points: two examples from their lines, a key that some share, a level by length."""
-    docs = read(spark, sf_dir, "documents")
-    lines = F.split("text", "\n")
-    ex = lambda k: F.struct(F.left(F.get(lines, F.lit(k)), F.lit(100)).alias("text"), F.lit("").alias("annot"), F.lit("").alias("reading"), F.lit("t").alias("translation_zh"))
-    lang = F.when(F.col("lang") == "en", "ko").when(F.col("lang") == "de", "ja").when(F.col("lang") == "fr", "th").otherwise("vi")
-    level = F.when(F.col("lang") == "de", F.concat(F.lit("N"), F.col("n_chars") % 6)).otherwise(F.concat(F.lit("L"), F.col("n_chars") % 8))
-    point = F.struct(F.col("source").alias("title_zh"), F.left("text", F.lit(3)).alias("structure"), F.lit("").alias("structure_pattern"), level.alias("level"), F.lit("").alias("explanation_zh"), F.array(ex(0), ex(1)).alias("examples"), F.array("lang").alias("tags"), F.lit("1").alias("frequency_hint"))
-    return docs.select(F.format_string("%09d", "doc_id").alias("path"), lang.alias("language"), F.col("source").alias("book_id"), F.col("text").alias("chunk_text"), F.array(point).alias("points"))
-
-
-def _no_kb(spark):
-    return spark.createDataFrame([], f"path string, language string, id string, key string, examples {adopt.EXAMPLES}")
-
-
-@query()
-def adopt_all(spark, sf_dir):
-    done = adopt.adopt(adopt.screened(adopt.points(_points(spark, sf_dir)), annotate=False), _no_kb(spark))
-    return adopt.outcomes(done).select("language", "path", "id", "outcome")
-
-
-@query()
-def adopt_counts(spark, sf_dir):
-    return adopt.counts(adopt.adopt(adopt.screened(adopt.points(_points(spark, sf_dir)), annotate=False), _no_kb(spark)))
-
-
-@query()
-def validate_kb(spark, sf_dir):
-    done = adopt.adopt(adopt.screened(adopt.points(_points(spark, sf_dir)), annotate=False), _no_kb(spark))
-    entries = adopt.new_entries(done, "2026-01-01", "engine")
-    entries = entries.withColumn("level_rank", F.col("level_rank") + F.when(F.col("id").endswith("7"), 1).otherwise(0))
-    vocabulary = entries.filter(F.lit(False)).select("path", "id", "language", "status", "examples", "related")
-    return validate.validate(entries, vocabulary)
-
-
 # Modules that register more queries in the same tables.
-from lexiforge.plans import function_queries, source_queries  # noqa: E402, F401
+from lexiforge.plans import function_queries, knowledge_queries, source_queries  # noqa: E402, F401
