@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexiforge.operators.rank import numbered
+
 
 def register(files: DataFrame, books: DataFrame, order: str = "ord") -> DataFrame:
     """files (lang, path, sha256, title, ord) into books (book_id, language, sha256, epub_path, ...): a known hash keeps its
@@ -16,8 +18,8 @@ def register(files: DataFrame, books: DataFrame, order: str = "ord") -> DataFram
     known = books.select("sha256", "book_id", F.col("language").alias("known_lang"), F.col("title_orig").alias("known_title"), F.col("epub_path").alias("known_path"))
     both = known.join(one, "sha256", "full")
     fresh = both.filter("book_id is null").join(last, "lang", "left")
-    place = F.row_number().over(W.partitionBy("lang").orderBy("first"))
-    fresh = fresh.select(F.format_string("book-%s-%03d", "lang", F.coalesce("last", F.lit(0)) + place).alias("book_id"), "lang", "title", "path", "sha256", F.lit(True).alias("is_new"))
+    fresh = numbered(fresh, ["lang"], ["first"], "place")
+    fresh = fresh.select(F.format_string("book-%s-%03d", "lang", F.coalesce("last", F.lit(0)) + F.col("place")).alias("book_id"), "lang", "title", "path", "sha256", F.lit(True).alias("is_new"))
     old = both.filter("book_id is not null").select("book_id", F.col("known_lang").alias("lang"), F.col("known_title").alias("title"), F.coalesce("path", "known_path").alias("path"), "sha256", F.lit(False).alias("is_new"))
     return old.unionByName(fresh).select("book_id", F.col("lang").alias("language"), F.col("title").alias("title_orig"), F.col("path").alias("epub_path"), "sha256", "is_new")
 

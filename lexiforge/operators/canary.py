@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexiforge import storage
 from lexiforge.schemas import CANARY_CHARS
 
-BLOCK = 8
+BLOCK, WIDE = 8, 16
 
 
 def pick(paragraphs: DataFrame, chapters: tuple = (3, 2, 1), least: int = 50, most: int = 200, skip: int = 10) -> DataFrame:
@@ -29,21 +29,28 @@ def probes(canaries: DataFrame) -> DataFrame:
 def containment(texts: DataFrame, needles: DataFrame, text: str = "text", probe: str = "probe") -> DataFrame:
     """texts joined with needles that stand in them, exactly, without comparing all pairs; repeated rows stay rows of their own.
 
-    A needle of 2 * BLOCK - 1 code points or more covers a whole aligned block of any text that holds it: aligned blocks
-    of texts meet all blocks of needles in an equi-join on narrow rows (row, block), and only the pairs found meet the texts
-    again.  A shorter needle that has BLOCK code points meets the blocks at every place of the texts; still shorter ones, few
+    A needle of 2 * wide - 1 code points or more covers a whole aligned block of `wide` of any text that holds it, and that
+    block starts within the needle's first `wide` places: aligned blocks of texts meet those of needles in an equi-join on narrow
+    rows (row, block), and only the pairs found meet the texts again.  Long needles take the rarer, WIDE blocks, others those of
+    BLOCK.  A shorter needle that has BLOCK code points meets the blocks at every place of the texts; still shorter ones, few
     as they are, are compared with every text.
     """
     texts = storage.kept(texts.withColumn("__row", F.monotonically_increasing_id()), "texts")
     needles = storage.kept(needles.withColumn("__needle", F.monotonically_increasing_id()), "needles")
-    size, cut = F.length(probe), lambda c, i: F.substring(F.col(c), i, F.lit(BLOCK))
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (BLOCK - 1)), lambda i: cut(c, i)))
-    aligned = F.array_distinct(F.regexp_extract_all(text, F.lit("(?s).{%d}" % BLOCK), F.lit(0)))
-    long_ = needles.filter(size >= 2 * BLOCK - 1).select("__needle", F.explode(grams(probe)).alias("__block"))
-    pairs = texts.select("__row", F.explode(aligned).alias("__block")).join(long_, "__block").select("__row", "__needle")
+    size, pairs = F.length(probe), None
+    add = lambda some, more: more if some is None else some.unionByName(more)
+    for wide, fits in ((WIDE, size >= 2 * WIDE - 1), (BLOCK, size.between(2 * BLOCK - 1, 2 * WIDE - 2))):
+        starts = F.transform(F.sequence(F.lit(1), F.lit(wide)), lambda i: F.substring(F.col(probe), i, F.lit(wide)))  # noqa: B023
+        own = needles.filter(fits).select("__needle", F.explode(F.array_distinct(starts)).alias("__block"))
+        if own.limit(1).count():
+            aligned = F.array_distinct(F.regexp_extract_all(text, F.lit("(?s).{%d}" % wide), F.lit(0)))
+            pairs = add(pairs, texts.select("__row", F.explode(aligned).alias("__block")).join(own, "__block").select("__row", "__needle"))
     middle = needles.filter(size.between(BLOCK, 2 * BLOCK - 2)).select("__needle", F.left(probe, F.lit(BLOCK)).alias("__block"))
     if middle.limit(1).count():
-        pairs = pairs.unionByName(texts.filter(F.length(text) >= BLOCK).select("__row", F.explode(grams(text)).alias("__block")).join(middle, "__block").select("__row", "__needle"))
+        places = F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % BLOCK), F.lit(1)))  # a substring by place would walk the text each time
+        pairs = add(pairs, texts.filter(F.length(text) >= BLOCK).select("__row", F.explode(places).alias("__block")).join(middle, "__block").select("__row", "__needle"))
+    if pairs is None:
+        pairs = texts.select("__row").join(needles.filter(F.lit(False)).select("__needle", F.col("__needle").alias("__row")), "__row")
     found = pairs.distinct().join(needles, "__needle").join(texts, "__row").filter(F.contains(text, probe))
     short = needles.filter(size < BLOCK)
     out = found.select(*texts.columns, *needles.columns)

@@ -2,39 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexiforge import schemas
 from lexiforge.functions.tokenizers import words
-
-#: Positions of a document that fit the packed ordinal; the ordinal is one long, so the aggregation stays hash-based.
-POSITION_BITS = 24
-
-
-def ordinal(*parts: Column) -> Column:
-    """Packs (document, position) into one long that sorts as the pair."""
-    doc, position = parts
-    return F.shiftleft(doc.cast("long"), POSITION_BITS) + position
+from lexiforge.operators.rank import numbered
 
 
 def document_tokens(docs: DataFrame, language: str = "lang", doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(language, book_id, ord, key): the native tokenizer over whole texts; ord is the place of the token in the corpus."""
+    """(language, book_id, ord, key): the native tokenizer over whole texts; ord is the place of the token in its book."""
     rows = docs.select(F.col(language).alias("language"), F.col(doc).alias("book_id"), F.posexplode(words(F.col(text))).alias("i", "key"))
-    return rows.select("language", "book_id", ordinal(F.col("book_id"), F.col("i")).alias("ord"), "key")
+    return rows.select("language", "book_id", F.col("i").alias("ord"), "key")
 
 
 def token_freq(tokens: DataFrame, keys: tuple = ("key",)) -> DataFrame:
-    """(language, rank, keys..., count, doc_count): ranks by falling count, ties by first occurrence.
+    """(language, rank, keys..., count, doc_count): ranks by falling count, ties by first occurrence (book, place in it).
 
     Counts go by (language, key, book) first, so that a document frequency needs no distinct set, and a frequent key is
     summed on the map side.
     """
     per_book = tokens.groupBy("language", *keys, "book_id").agg(F.count("*").alias("n"), F.min("ord").alias("first_ord"))
-    total = per_book.groupBy("language", *keys).agg(F.sum("n").alias("count"), F.count("*").alias("doc_count"), F.min("first_ord").alias("first_ord"))
-    by_rank = W.partitionBy("language").orderBy(F.desc("count"), "first_ord")
-    return total.select("language", F.row_number().over(by_rank).alias("rank"), *keys, "count", "doc_count")
+    first = [F.min("book_id").alias("first_book"), F.min_by("first_ord", "book_id").alias("first_ord")]
+    total = per_book.groupBy("language", *keys).agg(F.sum("n").alias("count"), F.count("*").alias("doc_count"), *first)
+    ranked = numbered(total.withColumn("falling", -F.col("count")), ["language"], ["falling", "first_book", "first_ord"], "rank")
+    return ranked.select("language", "rank", *keys, "count", "doc_count")
 
 
 def modal_value(rows: DataFrame, keys: list[str], value: str, order: str, out: str = "modal") -> DataFrame:
@@ -50,6 +43,7 @@ def candidates(freq: DataFrame, stopwords: DataFrame, min_count: int = schemas.M
     kept = freq.filter((F.length("key") >= 2) & ((F.col("count") >= min_count) | (F.col("doc_count") >= min_docs)))
     stops = stopwords.select("language", F.col("word").alias("key"))
     kept = kept.join(stops, ["language", "key"], "left_anti")
+    # a filter on a row number keeps at most `most` rows of a language in each task before the shuffle
     place = F.row_number().over(W.partitionBy("language").orderBy("rank"))
     return kept.withColumn("place", place).filter(F.col("place") <= most).drop("place")
 

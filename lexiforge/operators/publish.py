@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexiforge import schemas
+from lexiforge.operators.rank import numbered
 
 
 def visible(entries: DataFrame) -> DataFrame:
@@ -50,8 +51,7 @@ def pages(rows: DataFrame, order: list, size: int, bucket: Column | None = None,
     """rows with (bucket, pos, page): every row also stands in the bucket `all`; pages of `size` rows."""
     b = F.explode(F.array(F.lit("all"), bucket)) if bucket is not None else F.lit("all")
     out = rows.withColumn("bucket", b)
-    out = out.withColumn("pos", F.row_number().over(W.partitionBy(group, "bucket").orderBy(*order)))
-    return out.withColumn("page", F.ceil(F.col("pos") / size))
+    return numbered(out, [group, "bucket"], order, "pos").withColumn("page", F.ceil(F.col("pos") / size))
 
 
 def page_counts(languages: DataFrame, rows: DataFrame, size: int) -> DataFrame:

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexiforge import schemas
 from lexiforge.functions import text as X
+from lexiforge.operators.rank import numbered
 
 
 def batches(words: DataFrame, size: int = schemas.GLOSS_BATCH, order: str = "rank") -> DataFrame:
     """(language, start, words): slices of `size` words in order, by their offset."""
-    place = F.row_number().over(W.partitionBy("language").orderBy(order)) - 1
-    rows = words.select("language", "key", place.alias("place")).withColumn("start", F.expr(f"cast(place div {size} * {size} as bigint)"))
+    rows = numbered(words.select("language", "key", order), ["language"], [order], "place").withColumn("place", F.col("place") - 1)
+    rows = rows.drop(order).withColumn("start", F.expr(f"cast(place div {size} * {size} as bigint)"))
     per = rows.groupBy("language", "start").agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("w"))
     return per.select("language", "start", F.transform("w", lambda x: x["key"]).alias("words"))
 

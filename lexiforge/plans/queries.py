@@ -40,7 +40,7 @@ _STOPS_SQL = ", ".join(f"('{k}', '{w}')" for k, v in STOPS.items() for w in sort
 _TOKENS_SQL = r"""
 t AS (SELECT lang, doc_id, unnest(list_transform(list_filter(string_split_regex(coalesce(text, ''), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> ''), lambda x: lower(x))) AS key,
              generate_subscripts(list_filter(string_split_regex(coalesce(text, ''), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> ''), 1) - 1 AS i FROM documents),
-f AS (SELECT lang AS language, key, count(*) AS count, count(DISTINCT doc_id) AS doc_count, min(doc_id * 16777216 + i) AS first_ord FROM t GROUP BY ALL),
+f AS (SELECT lang AS language, key, count(*) AS count, count(DISTINCT doc_id) AS doc_count, min((doc_id, i)) AS first_ord FROM t GROUP BY ALL),
 r AS (SELECT language, row_number() OVER (PARTITION BY language ORDER BY count DESC, first_ord)::INTEGER AS rank, key, count, doc_count FROM f)"""
 _CAND_SQL = f"""{_TOKENS_SQL},
 s(language, key) AS (VALUES {_STOPS_SQL}),

@@ -218,7 +218,7 @@ def test_vocab_takes_last_homograph_and_first_gloss(spark):
 def test_containment_equals_brute_force(spark):
     rng = random.Random(5)
     texts = [(k, "".join(rng.choice("ab") for _ in range(rng.randint(0, 60)))) for k in range(40)] + [(99, None)]
-    probes = [(k, texts[rng.randrange(40)][1][3 : 3 + rng.choice([4, 14, 15, 16, 23, 40])]) for k in range(60)]
+    probes = [(k, texts[rng.randrange(40)][1][3 : 3 + rng.choice([4, 7, 8, 14, 15, 16, 23, 30, 31, 32, 40])]) for k in range(60)]
     probes = [p for p in probes if p[1]]
     got = canary.containment(spark.createDataFrame(texts, "id int, text string"), spark.createDataFrame(probes, "n int, probe string"))
     assert rows(got, "n", "id") == sorted((n, k) for n, p in probes for k, t in texts if t and p in t)
