@@ -9,7 +9,8 @@ Within a task the links found become stars (a union of the links, one edge per f
 the cluster: each fingerprint hooks to its smallest neighbour, pointers are halved, edges are relabelled, until none is left.
 
 Defined results: null text counts as empty (fingerprint zero, linked like any other); equal fingerprints are one node; a
-null doc_id is larger than others; repeated rows are rows like others; an empty table gives an empty result.
+null doc_id is larger than others; repeated rows are rows like others; a bit set in exactly half the shingles is 0; texts of any
+length are read whole; an empty table gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

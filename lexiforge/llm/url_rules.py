@@ -11,7 +11,9 @@ The rules go to the workers in shards of at most SHARD_RULES; a longer list make
 no worker ever holds more than one shard.
 
 Defined results: a null url or one without "://" has an empty host and path, fits no rule and gets the method's verdict;
-repeated rows are judged each; an empty table gives an empty result; an empty rule list leaves all to the patterns.
+repeated rows are judged each; of rules that fit at equal length the blocking one wins, then the last by text; urls of any
+length are read whole; an empty table gives an empty result; an empty rule list leaves all to the patterns; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import read_table
+from lexiforge.llm._shared import read_table, sized_broadcast
 
 #: (host, path, verdict)
 HOST_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -62,9 +64,10 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def token_counts(urls: DataFrame, tokens: list[str]) -> dict[str, int]:
-    """In how many urls each of the rules' tokens stands: one row per token of the rules at most."""
-    found = F.array_intersect(F.array_distinct(F.regexp_extract_all("url", F.lit(TOKEN), F.lit(0))), F.array(*[F.lit(t) for t in tokens]))
-    return {r[0]: r[1] for r in urls.select(F.explode(found).alias("t")).groupBy("t").count().collect()}
+    """In how many urls each of the rules' tokens stands: one row per token of the rules at most, which are here already."""
+    wanted = urls.sparkSession.createDataFrame([(t,) for t in tokens], "t string")
+    rows = urls.select(F.explode(F.array_distinct(F.regexp_extract_all("url", F.lit(TOKEN), F.lit(0)))).alias("t"))
+    return {r[0]: r[1] for r in rows.join(sized_broadcast(wanted, len(tokens)), "t", "left_semi").groupBy("t").count().collect()}
 
 
 def _judge(rules: list[tuple], counts: dict[str, int], first: bool):
@@ -87,7 +90,7 @@ def _judge(rules: list[tuple], counts: dict[str, int], first: bool):
                 if host or path:
                     for token in {"", *re.findall(TOKEN, clean)}:
                         for length, blocks, text, pattern, verdict in ready.get(token, ()):
-                            if (length, blocks) > best[:2] and pattern.search(clean):
+                            if (length, blocks, text) > (*best[:2], best[2] or "") and pattern.search(clean):
                                 best = (length, blocks, text, verdict)
                 out.append((page, url, host, path, *best))
             kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.string()]

@@ -39,6 +39,13 @@ def test_equals_all_rules_on_all_urls(spark):
         assert (r.rule, r.verdict) == (max(fits)[2:] if fits else (None, "allow"))
 
 
+def test_ties_and_many_rules(spark):
+    rules = (("x.com", "/ab", "block"), ("com", "/abcd", "block"), *((f"h{k}.net", "/", "block") for k in range(3000)))
+    pages = spark.createDataFrame([(1, "http://x.com/abcd"), (2, "http://w.h7.net/"), (3, "http://h3000.net/")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in M.judge(pages, rules, ()).collect()}
+    assert got == {1: ("x.com/ab", "block"), 2: ("h7.net/", "block"), 3: (None, "allow")}
+
+
 def test_empty(spark, sf_dir):
     assert M.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
     assert M.judge(spark.createDataFrame([(1, "http://x.org/")], "page_id long, url string"), (), ()).first().verdict == "allow"
