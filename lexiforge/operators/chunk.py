@@ -1,4 +1,4 @@
-"""Overlapping chunks of a book's paragraphs: an ordered fold per book."""
+"""Overlapping chunks of a book's paragraphs: an ordered fold per book, in the JVM for usual books, streaming for long ones."""
 
 from __future__ import annotations
 
@@ -47,31 +47,40 @@ def chunks(paragraphs: DataFrame, target: int = schemas.CHUNK_TARGET, overlap: i
 
 
 def chunks_of_long_books(paragraphs: DataFrame, target: int = schemas.CHUNK_TARGET, overlap: int = schemas.CHUNK_OVERLAP) -> DataFrame:
-    """The same for books with very many paragraphs: one pass per book without copying, Arrow-batched."""
+    """The same for books of any length: paragraphs stream by in order, and no more than one chunk of them is held."""
     line = F.coalesce(F.nullif("annot", F.lit("")), "text") if "annot" in paragraphs.columns else F.col("text")
-    rows = paragraphs.select("book_id", F.col("chapter_idx").alias("ch"), "para_idx", line.alias("line"))
-
-    def book(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ch", "para_idx"])
-        out, cur, length, first = [], [], 0, None
-        for ch, text in zip(pdf["ch"], pdf["line"], strict=True):
-            if cur and length + len(text) > target:
-                out.append((first, cur[-1][0], length, "\n".join(t for _, t in cur)))
-                first = cur[-1][0]
-                cur = cur[-overlap:] if overlap else []
-                length = sum(len(t) for _, t in cur)
-            first = ch if first is None else first
-            cur.append((ch, text))
-            length += len(text)
-        if cur:
-            out.append((first, cur[-1][0], length, "\n".join(t for _, t in cur)))
-        found = pd.DataFrame(out, columns=["from_chapter", "to_chapter", "char_count", "text"])
-        found.insert(0, "chunk_idx", range(len(found)))
-        found.insert(0, "book_id", pdf["book_id"].iloc[0])
-        return found
-
+    rows = paragraphs.select("book_id", F.col("chapter_idx").cast("int").alias("ch"), "para_idx", line.alias("line"))
     kind = rows.schema["book_id"].dataType.simpleString()
-    return rows.groupBy("book_id").applyInPandas(book, f"book_id {kind}, chunk_idx int, from_chapter int, to_chapter int, char_count long, text string")
+    names = ["book_id", "chunk_idx", "from_chapter", "to_chapter", "char_count", "text"]
+
+    def stream(batches):
+        book, held, length, first, number, out = None, [], 0, None, 0, []
+
+        def close():
+            out.append((book, number, first, held[-1][0], length, "\n".join(t for _, t in held)))
+
+        for batch in batches:
+            for own, ch, text in zip(batch["book_id"], batch["ch"], batch["line"], strict=True):
+                if held and own != book:
+                    close()
+                    held, length, first, number = [], 0, None, 0
+                elif held and length + len(text) > target:
+                    close()
+                    first, number = held[-1][0], number + 1
+                    held = held[-overlap:] if overlap else []
+                    length = sum(len(t) for _, t in held)
+                book, first = own, ch if first is None else first
+                held.append((ch, text))
+                length += len(text)
+            if out:
+                yield pd.DataFrame(out, columns=names)
+                out.clear()
+        if held:
+            close()
+            yield pd.DataFrame(out, columns=names)
+
+    ordered = rows.repartition("book_id").sortWithinPartitions("book_id", "ch", "para_idx").select("book_id", "ch", "line")
+    return ordered.mapInPandas(stream, f"book_id {kind}, chunk_idx int, from_chapter int, to_chapter int, char_count long, text string")
 
 
 def tasks(chunked: DataFrame, version: str) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiforge import schemas, storage
-from lexiforge.functions import text as X
 from lexiforge.functions.decode import decode_text as decoded_text
 from lexiforge.functions.tokenizers import tokens
 from lexiforge.operators import freq
