@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiforge.functions.text import let  # noqa: F401
+from lexiforge.storage import work_path
+
 # Functions of this package travel to the executors by value, so that a cluster needs no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules["lexiforge"])
 
@@ -24,24 +26,6 @@ BROADCAST_ROWS = 400_000
 SPREAD = 4096
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset (tests) one in the warehouse."""
-    known = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not known:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lexiforge-checkpoints")
-        known = spark.sparkContext.getCheckpointDir()
-    return known.rstrip("/")
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the application ends."""
-    path = f"{shared_dir(spark)}/lexiforge-{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: cuts the lineage and survives lost executors."""
     spark, path = df.sparkSession, work_path(df.sparkSession, name)
@@ -98,11 +82,6 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], rows: str, how
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 
-def let(value: Column, body) -> Column:
-    """Evaluates value once and hands it to body; a plain column could be inlined into a lambda and run per element."""
-    return F.transform(F.array(value), body)[0]
-
-
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

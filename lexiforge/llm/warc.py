@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import read_table, sized_broadcast, stored, work_path
+from lexiforge.llm._shared import read_table, sized_broadcast, stored
+from lexiforge.storage import work_path
 
 LEAST_BYTES, FILE_RECORDS = 1000, 20_000
 #: Runs that one merge opens, rows of a block, rows that a part of the last merge should have, and its parts at most.
