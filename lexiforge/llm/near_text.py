@@ -11,7 +11,8 @@ sets: first one pair a document, then what the links found leave in different co
 A shingle that the sample shows as common, or that over HOT documents hold, is crowded: no task takes its documents at once.
 Every document meets LEADERS of them; then, of the components that the links so far leave, all but the largest meet all
 members, dealt over cells of CHUNK by CHUNK documents.  Only pairs within one component are left out, so that no link between
-components is lost at any size; the cost grows with the documents outside of a crowd's largest component times the crowd.
+components is lost at any size; the cost grows with the documents outside of a crowd's largest component times the crowd.  A pair
+that shares one of both documents' first EARLIER crowded shingles is made there and not again at its other shared shingles.
 
 Defined results: null text counts as empty; texts without words are alike; texts under five words are one shingle; texts of
 any length are taken whole; rows with one doc_id, or with none, are documents of their own; the document with the smallest
@@ -30,7 +31,7 @@ from lexiforge.llm._shared import arrow_texts, discard, fresh, sized_broadcast,
 from lexiforge.llm.simhash import components, links, simhash
 
 SIMILARITY, SHINGLE = 0.8, 5
-HOT, CHUNK, LEADERS = 32, 512, 3
+HOT, CHUNK, LEADERS = 32, 256, 3
 #: Documents of the sample that orders shingles, its smallest share, and how many common shingles are kept.
 SAMPLE, SHARE, COMMON = 20_000, 16, 100_000
 STEP_ROWS = 200_000
@@ -40,6 +41,8 @@ PARITY, LEAST_BITS, MOST_BITS = 4, 512, 1 << 16
 KEPT = 5
 #: Pairs of one document that meet one copy of its set.
 PAIRS_OF_ONE = 4096
+#: Crowded keys of a document, its smallest ones, by which a pair that an earlier key has met is known.
+EARLIER = 8
 #: Words of parity prints that are compared at once.
 COMPARED = 1_000_000
 
@@ -307,7 +310,10 @@ def _crossing(similarity: float):
         import numpy as np
 
         doc, root, span, probe, other = (table.column(c).to_numpy() for c in ("doc", "root", "span", "probe", "other"))
-        prints = Prints(table.column("parity"))
+        prints, key = Prints(table.column("parity")), table.column("key")[0].as_py()
+        low = np.full((len(doc), EARLIER), np.iinfo(np.int64).max)
+        for k, own in enumerate(table.column("low").to_pylist()):
+            low[k, : len(own)] = own
         n, place = span >> 32, span & 0xFFFFFFFF
         left, right = np.flatnonzero(probe), np.flatnonzero(~probe)
         for at in range(0, len(left), 64):
@@ -318,6 +324,10 @@ def _crossing(similarity: float):
             x, y = left[at + x], right[y]
             near = prints.differ(x, prints, y) <= may_differ(n[x], n[y], similarity)
             x, y = x[near], y[near]
+            met = np.zeros(len(x), bool)
+            for k in range(EARLIER):
+                met |= ((low[x, k, None] == low[y]).any(1)) & (low[x, k] < key)
+            x, y = x[~met], y[~met]
             yield np.stack([np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])], 1)
 
     def crossing(batches):
@@ -379,14 +389,11 @@ def _needed(pairs: DataFrame) -> DataFrame:
     return stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "needed")
 
 
-def _with(pairs: DataFrame, end: str, rows: DataFrame, names: dict) -> DataFrame:
-    """pairs joined on `end` with rows (doc, ...); a document of very many pairs is copied, so that its pairs spread."""
-    often = stored(pairs.groupBy(end).count().filter(F.col("count") > PAIRS_OF_ONE).select(F.col(end).alias("__doc"), F.ceil(F.col("count") / PAIRS_OF_ONE).cast("int").alias("__parts")), "often")
-    few = often.count()
+def _with(pairs: DataFrame, end: str, rows: DataFrame, names: dict, often: DataFrame | None) -> DataFrame:
+    """pairs joined on `end` with rows (doc, ...); a document of very many pairs (often) is copied, so that its pairs spread."""
     rows = rows.select(F.col("doc").alias(end), *[F.col(c).alias(new) for c, new in names.items()])
-    if not few:
+    if often is None:
         return pairs.join(rows, end)
-    often = sized_broadcast(often, few)
     of = lambda df: df.join(often, F.col(end) == F.col("__doc"), "left").drop("__doc")
     other = "b" if end == "a" else "a"
     pairs = of(pairs).withColumn("__part", F.coalesce(F.pmod(F.xxhash64(other), "__parts"), F.lit(0)).cast("int")).drop("__parts")
@@ -394,12 +401,25 @@ def _with(pairs: DataFrame, end: str, rows: DataFrame, names: dict) -> DataFrame
     return pairs.join(rows, [end, "__part"]).drop("__part")
 
 
+def _both(pairs: DataFrame, rows: DataFrame, names: dict, others: dict) -> DataFrame:
+    """pairs, a stored table, with the columns of rows for a (names) and for b (others)."""
+    often: dict = {"a": None, "b": None}
+    if pairs.count() > PAIRS_OF_ONE:  # else no document has that many
+        for end in often:
+            many = pairs.groupBy(end).count().filter(F.col("count") > PAIRS_OF_ONE)
+            many = stored(many.select(F.col(end).alias("__doc"), F.ceil(F.col("count") / PAIRS_OF_ONE).cast("int").alias("__parts")), "often")
+            few = many.count()
+            often[end] = sized_broadcast(many, few) if few else None
+    return _with(_with(pairs, "a", rows, names, often["a"]), "b", rows, others, often["b"])
+
+
 def _alike(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b), a stored table, whose shingle sets are alike."""
+    pairs = pairs.select("a", "b")
     needed = _needed(pairs)
     texts = docs.select("doc", "text").join(sized_broadcast(needed, needed.count()), "doc", "left_semi")
     sets = stored(texts.mapInArrow(trimmed(_sets), "doc long, shingles binary"), "shingles")
-    both = _with(_with(pairs, "a", sets, {"shingles": "x"}), "b", sets, {"shingles": "y"}).select("a", "b", "x", "y")
+    both = _both(pairs, sets, {"shingles": "x"}, {"shingles": "y"}).select("a", "b", "x", "y")
     out = stored(both.mapInArrow(trimmed(_verified(similarity)), "a long, b long"), "alike")
     discard(sets, needed)
     return out
@@ -409,7 +429,7 @@ def _close(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b), a stored table, that sizes and parity prints allow."""
     needed = _needed(pairs)
     rows = sketch.select("doc", "n", "parity").join(sized_broadcast(needed, needed.count()), "doc", "left_semi")
-    both = _with(_with(pairs, "a", rows, {"n": "n", "parity": "x"}), "b", rows, {"n": "m", "parity": "y"}).select("a", "b", "n", "m", "x", "y")
+    both = _both(pairs, rows, {"n": "n", "parity": "x"}, {"n": "m", "parity": "y"}).select("a", "b", "n", "m", "x", "y")
     out = stored(both.mapInArrow(trimmed(_near(similarity)), "a long, b long"), "close")
     discard(needed)
     return out
@@ -431,7 +451,7 @@ def _joined(pairs: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataF
     rest = stored(rest.filter("ra <> rb").select("a", "b", "ra", "rb"), "rest")
     if not rest.limit(1).count():
         return edges, roots
-    more = _alike(rest.select("a", "b"), docs, similarity)
+    more = _alike(rest, docs, similarity)
     # the components of the new links between the old components
     between = more.join(rest, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     tops = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
@@ -448,11 +468,12 @@ def _cells(members: DataFrame, sketch: DataFrame, roots: DataFrame) -> DataFrame
     chunks = lambda c: F.ceil(c / CHUNK).cast("int")
     sizes = sizes.filter(F.col("all") > F.col("top.count"))
     sizes = stored(sizes.select("key", F.col("top.root").alias("top"), chunks(F.col("all")).alias("los"), chunks(F.col("all") - F.col("top.count")).alias("his")), "crowds")
-    rows = labelled.join(sized_broadcast(sizes, sizes.count()), "key").join(sketch.select("doc", "parity"), "doc")
+    low = members.groupBy("doc").agg(F.slice(F.array_sort(F.collect_list("key")), 1, EARLIER).alias("low"))
+    rows = labelled.join(sized_broadcast(sizes, sizes.count()), "key").join(sketch.select("doc", "parity"), "doc").join(low, "doc")
     rows = rows.withColumn("other", F.col("root") != F.col("top"))
     lo, hi = F.pmod(F.xxhash64("doc"), "los").cast("int"), F.pmod(F.xxhash64("doc", F.lit(1)), "his").cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["key", "lo", "hi", "doc", "root", "span", "other", "probe", "parity"]
+    columns = ["key", "lo", "hi", "doc", "root", "span", "other", "probe", "parity", "low"]
     held = rows.withColumns({"lo": lo, "probe": F.lit(False)}).withColumn("hi", every("his")).select(columns)
     asking = rows.filter("other").withColumns({"hi": hi, "probe": F.lit(True)}).withColumn("lo", every("los")).select(columns)
     return held.unionByName(asking).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")

@@ -52,6 +52,7 @@ def test_pairs_equal_brute_force(spark, monkeypatch, hot):
     rng = random.Random(5)
     texts = copies_with_edits(rng)
     monkeypatch.setattr(M, "CHUNK", 4 if hot == 3 else 2048)
+    monkeypatch.setattr(M, "PAIRS_OF_ONE", 2 if hot == 3 else 4096)
     edges = M.similar(spark.createDataFrame(list(enumerate(texts)), "doc long, text string").repartition(3), hot=hot).collect()
     assert all(alike(texts[r.a], texts[r.b]) >= 0.8 for r in edges)
     want = groups(len(texts), lambda i, j: alike(texts[i], texts[j]) >= 0.8)
