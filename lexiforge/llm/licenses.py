@@ -2,8 +2,9 @@
 
 A text loses the comment signs at the starts of its lines and is cut into sentences at stops (before white space) and at empty
 lines.  A sentence is normalised (lower case, other signs than letters and digits become one space) and looked up among the
-known licence sentences.  One that isn't known and spans several lines may be a known one behind a heading, or hold known lines:
-its single lines are looked up too, and its last lines taken together.  The identifiers found, in order, are matched against
+known licence sentences.  One that isn't known and spans several lines may hold known ones among other lines: all its single lines
+are looked up too, and all runs of its lines, wherever they start and end; of runs within runs the longest counts.  The
+identifiers found, in the order of their ends, are matched against
 ordered rules, the longest first; what a rule has matched counts for no other rule, so that a licence whose text holds that of
 another is reported alone.
 
@@ -117,7 +118,7 @@ for _letters, _words in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlik
         _area = {"3.0": "Unported", "4.0": "International"}.get(_v, "Generic")
         NAMES[f"CC-{_letters}-{_v}"] = (f"CC {_letters} {_v}", f"Creative Commons {_words} {_v} License", f"Creative Commons {_words} {_v} {_area} License")
 TEMPLATES = ("Licensed under {}", "Licensed under the {}", "Released under the {}", "Distributed under the {}", "This work is licensed under {}", "This work is licensed under the {}", "This work is licensed under a {}", "This project is licensed under the {}")
-#: Lines of one sentence that are taken together at most: more than any known sentence has words.
+#: Words of a known sentence at most; OP5_SQL also looks at so many last lines of a sentence only.
 LINES = 128
 
 COMMENT = r"^[\x20\x09]*(//+|#+|/?\*+/?|;+|--+|%+|<!--)[\x20\x09]*"
@@ -171,19 +172,46 @@ def _sentences(text: Column, table: dict[str, str]) -> Column:
     bare = F.regexp_replace(text, "(?md)" + COMMENT, "")
     marked = F.regexp_replace(F.regexp_replace(bare, STOP, CUT + "$1"), EMPTY, CUT)
     clean = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
-    known_ones = _in_jvm(list(table))
+    words = [x.split() for x in table]
+    most = max([2, *map(len, words)])  # no run of more lines is known: each has a word
+    known_ones, begun = _in_jvm(list(table)), _in_jvm(sorted({" ".join(x[:n]) for x in words for n in range(1, len(x) + 1)}))
     is_known = lambda s: type(s)(s._jc.isInCollection(known_ones))
+    begins = lambda s: type(s)(s._jc.isInCollection(begun))
     none = F.array().cast("array<string>")
+    hit = lambda at, run, s: F.struct(at.cast("int").alias("at"), F.lit(run).alias("run"), s.alias("s"))
 
     def of_lines(lines):
-        ends = F.transform(F.sequence(F.lit(2), F.size(lines) - 1), lambda k: F.array_join(F.slice(lines, k, LINES), " "))
-        behind = F.when(F.size(lines) > 2, F.slice(F.filter(ends, is_known), 1, 1)).otherwise(none)
-        return F.concat(F.filter(lines, is_known), behind)
+        line = lambda k: F.element_at(lines, k)
+        two = lambda a, b: F.concat(a, F.lit(" "), b)
+
+        def longest(k):
+            """The longest known run of lines from line k on; null if there is none."""
+
+            def step(a, x):
+                at = a["at"] + 1
+                more = lambda s: F.struct(F.when(begins(s), s).alias("s"), at.alias("at"), F.when(is_known(s), hit(at, 1, s)).otherwise(a["hit"]).alias("hit"))
+                return F.when(a["s"].isNull(), a).otherwise(let(two(a["s"], x), more))
+
+            start = F.struct(line(k).alias("s"), k.alias("at"), F.lit(None).cast("struct<at:int,run:int,s:string>").alias("hit"))
+            return F.aggregate(F.slice(lines, k + 1, most - 1), start, step, lambda a: a["hit"])
+
+        def outermost(runs):
+            """Runs in no longer one, which would start at one of the most - 2 lines before."""
+            before = lambda k: F.slice(runs, F.greatest(F.lit(1), k - most + 3), F.least(k, F.lit(most - 2)))
+            return F.filter(runs, lambda r, k: ~F.exists(before(k), lambda x: x["at"] >= r["at"]))
+
+        def merged(runs):
+            single = F.filter(F.transform(lines, lambda s, k: F.when(is_known(s), hit(k + 1, 0, s))), lambda x: x.isNotNull())
+            return F.transform(F.array_sort(F.concat(single, outermost(runs))), lambda x: x["s"])
+
+        starts = F.filter(F.sequence(F.lit(1), F.size(lines) - 1), lambda k: begins(line(k)) & begins(two(line(k), line(k + 1))))
+        runs = F.filter(F.transform(starts, longest), lambda x: x.isNotNull())
+        some = lambda found: F.when(F.size(found) > 0, merged(found)).otherwise(F.filter(lines, is_known))
+        return F.when(F.size(lines) > 2, let(runs, some)).otherwise(F.filter(lines, is_known))
 
     def of(s):
         lines = F.filter(F.transform(F.split(s, "\n"), clean), lambda x: x != "")
-        last = F.slice(lines, F.greatest(F.lit(1), F.size(lines) - LINES + 1), LINES)
-        one = lambda c: F.when(is_known(c), F.array(c)).when(F.contains(F.trim(s), F.lit("\n")), let(last, of_lines)).otherwise(none)
+        one = lambda c: F.when(is_known(c), F.array(c)).when(F.contains(F.trim(s), F.lit("\n")), let(lines, of_lines)).otherwise(none)
         return let(clean(s), one)
 
     return F.flatten(F.transform(F.split(marked, CUT), of))
@@ -209,6 +237,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
+    """Narrower than scan(): of an unknown sentence it looks at the last LINES lines, and only at runs that end with the last."""
     table, ordered = known()
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     words = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in table.items())

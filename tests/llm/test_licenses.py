@@ -1,3 +1,4 @@
+import random
 import re
 import textwrap
 
@@ -117,6 +118,66 @@ def test_equals_brute_force(spark):
     assert M.scan(documents(spark, [])).count() == 0
 
 
+# (text, identifiers, licences): known lines and runs of lines at any place of a sentence
+ANYWHERE = [
+    ("Released under the MIT License\n" + "x\n" * 200, "MIT-notice", "MIT"),
+    ("x\n" * 200 + "Released under the MIT License\n" + "x\n" * 200, "MIT-notice", "MIT"),
+    ("Released under the\nMIT License\na line without a stop", "MIT-notice", "MIT"),
+    ("x\n" * 300 + "Released under the\nMIT\nLicense\n" + "x\n" * 300, "spdx:MIT MIT-notice", "MIT"),
+    ("Heading\nReleased under the\nMIT License\nDistributed under\nthe ISC License\nand more", "MIT-notice ISC-notice", "ISC MIT"),
+    ("Heading\nPermission to use, copy, modify,\nand/or distribute this software for any purpose\nwith or without fee is hereby granted,\nprovided that the above copyright notice and this\npermission notice appear in all copies\nfooter", "isc-grant", "ISC"),
+    ("Licensed under the Apache\nLicense, Version 2.0 (the \"License\")\nfooter", "apache2-header", "Apache-2.0"),
+    ("Released under the\nMIT License\nheading\nThis work is licensed under\nthe ISC License", "MIT-notice ISC-notice", "ISC MIT"),
+    ("\n".join(M.normal(M.KNOWN["mit-grant"]).split()) + "\nx", "mit-grant", ""),
+    ("Released under\n" * 400 + "the MIT License\n" + "Released under the\n" * 400, "MIT-notice", "MIT"),
+    ("x\nReleased under the\nMIT License\n" * 150 + "x", " ".join(["MIT-notice"] * 150), "MIT"),
+]
+
+
+def every_run(text, table):
+    """Every line and every run of lines of each sentence, in plain Python: lines, and runs in no longer one, by their ends."""
+    lines = [re.sub(M.COMMENT, "", x) for x in (text or "").split("\n")]
+    ids = []
+    for s in re.sub(M.EMPTY, M.CUT, re.sub(M.STOP, M.CUT + r"\1", "\n".join(lines))).split(M.CUT):
+        whole, own = M.normal(s), [x for x in map(M.normal, s.split("\n")) if x]
+        if whole in table:
+            ids.append(table[whole])
+            continue
+        n, most = len(own), max(len(x.split()) for x in table)
+        runs = [(k, e) for k in range(n) for e in range(k + 2, min(n, k + most) + 1) if " ".join(own[k:e]) in table]
+        outer = [r for r in runs if not any(q != r and q[0] <= r[0] and r[1] <= q[1] for q in runs)]
+        hits = [(k + 1, 0, own[k]) for k in range(n) if own[k] in table] if "\n" in s else []
+        ids += [table[x] for *_, x in sorted(hits + [(e, 1, " ".join(own[k:e])) for k, e in outer])]
+    return " ".join(ids)
+
+
+def test_known_lines_at_any_place(spark):
+    table, _ = M.known()
+    got = {r.doc_id: r for r in M.scan(documents(spark, [(k, t, "en", "a", 1) for k, (t, *_) in enumerate(ANYWHERE)])).collect()}
+    assert {k: (got[k].sentence_ids, got[k].licenses) for k in got} == {k: tuple(want) for k, (_, *want) in enumerate(ANYWHERE)}
+    assert [every_run(t, table) for t, *_ in ANYWHERE] == [ids for _, ids, _ in ANYWHERE]
+
+
+def test_equals_every_run(spark):
+    table, _ = M.known()
+    rng, names = random.Random(3), sorted(table)
+    rows = []
+    for k in range(150):  # known sentences wrapped anywhere, other lines and parts of sentences between them, hardly a stop
+        lines = []
+        for _ in range(rng.choice([1, 3, 8, 60])):
+            words = rng.choice([rng.choice(names), M.normal(rng.choice(list(M.KNOWN.values())))]).split()
+            words = words[: rng.choice([len(words), len(words), rng.randrange(len(words)) + 1])]
+            while words:
+                n = rng.choice([1, 2, 3, 5, 9, 99])
+                lines.append(" ".join(words[:n]))
+                words = words[n:]
+            lines += ["x"] * rng.choice([0, 0, 1, 2, 150])
+            lines[-1] += rng.choice(["", "", "", "."])
+        rows.append((k, "\n".join(lines), "en", "a", 1))
+    got = {r.doc_id: r.sentence_ids for r in M.scan(documents(spark, rows)).collect()}
+    assert got == {k: every_run(t, table) for k, t, *_ in rows}
+
+
 def test_passages_are_cut_like_texts():
     table, _ = M.known()
     assert table["you may obtain a copy of the license at"] == "apache2-copy"
