@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexiforge.llm._shared import WORD, fresh, let, read_table, sized_broadcast, stored, text_or_empty
+from lexiforge.llm._shared import WORD, WS, fresh, let, read_table, sized_broadcast, stored, text_or_empty
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -43,10 +43,14 @@ RIDGE = 0.02
 FAR = 0.005
 EXACT_SIZES, PER_OCTAVE = 64, 64
 LOG_MOST = math.log(MOST)
+#: What WS matches.
+SPACES = " \t\n\x0b\x0c\r"
 
 
 def word_count(text_col: str) -> Column:
-    return F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
+    """Words of a text, one letter each: regexp_count would hold a list of all words, several times the text, at once."""
+    body = F.ltrim(text_or_empty(text_col), F.lit(SPACES))
+    return F.length(F.regexp_replace(body, f"{WORD}{WS}*", "x")).cast("long")
 
 
 def targets(cells: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:

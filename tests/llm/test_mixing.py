@@ -149,3 +149,12 @@ def test_query(spark, sf_dir):
     for r in rows:
         by[r.source, r.target] += r.taken
     assert all(abs(n - t) < 0.05 * t for (_, t), n in by.items())
+
+
+def test_words_are_counted_without_a_list_of_them(spark):
+    texts = [None, "", " ", "\t\n\x0b\x0c\r ", "a", " a", "a ", "\n a\x0b\x0cb\r\n", "\x1f \x1c\x85 \xa0 x", "é 東京 \U0001f600 \x00", "$1 \\ x", "ab " * 200_000, "\r" * 50_000 + "z"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").select("k", word_count("text").alias("n"))
+    assert {r.k: r.n for r in docs.collect()} == {k: size(t) for k, t in enumerate(texts)}
+    # a list of the words of one text takes many times the text's memory
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "array<" not in plan
