@@ -257,3 +257,22 @@ def test_search(spark):
     assert [r.id for r in search.search(post, docs.drop("text"), "cat", sort="-level", size=2, page=2).collect()] == [2]
     assert search.search(post, docs.drop("text"), "").count() == 0
     assert rows(search.facet_counts(docs, "lang"), "value", "n") == [("de", 1), ("en", 3)]
+
+
+@pytest.mark.parametrize("need_reading", [True, False])
+def test_equal_examples_meet_the_chunks_once_slice_by_slice(spark, monkeypatch, need_reading):
+    monkeypatch.setattr(lookup, "FIRST", 4)
+    met = []
+
+    def meetings(texts, needles, *columns, own=lookup.meetings):
+        found = own(texts, needles, *columns)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(lookup, "meetings", meetings)
+    rare, late = "only one chunk holds 漢字 and 山 of this", "0123456789ab" + " " * 20
+    chunks = [(f"{k:04d}", "all chunks hold 漢字[よみ] and 山[やま] of this") for k in range(300)] + [("5000", "x 0123456789山[やま]"), ("6000", rare.replace("字", "字[じ]").replace("山", "山[やま]"))]
+    examples = [(k, "all chunks hold 漢字 and 山 of this") for k in range(200)] + [(900, rare), (901, late), (902, "nowhere at all, not even its half")]
+    got = rows(lookup.first_annotation(spark.createDataFrame(examples, "id int, text string"), spark.createDataFrame(chunks, "path string, chunk_text string").repartition(3), need_reading), "id", "annot")
+    assert got == [*((k, chunks[0][1]) for k in range(200)), (900, chunks[-1][1])] + ([] if need_reading else [(901, "0123456789")])
+    assert 0 < sum(met) < 40
