@@ -26,10 +26,31 @@ def token_freq(tokens: DataFrame, keys: tuple = ("key",)) -> DataFrame:
     per_book = tokens.groupBy("language", *keys, "book_id").agg(F.count("*").alias("n"), F.min("ord").alias("first_ord"))
     first = [F.min("book_id").alias("first_book"), F.min_by("first_ord", "book_id").alias("first_ord")]
     total = per_book.groupBy("language", *keys).agg(F.sum("n").alias("count"), F.count("*").alias("doc_count"), *first)
+    return _ranked(total, keys)
+
+
+def _ranked(total: DataFrame, keys: tuple) -> DataFrame:
     ranked = numbered(total.withColumn("falling", -F.col("count")), ["language"], ["falling", "first_book", "first_ord"], "rank")
     return ranked.select("language", "rank", *keys, "count", "doc_count")
 
 
+def document_freq(docs: DataFrame, language: str = "lang", doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """token_freq of document_tokens, without rows by document.
+
+    A document's words go out twice: all of them, to be counted, and its distinct ones in order of their first places, for the
+    document frequency and the first occurrence.  Both are summed by (language, key) on the map side.  Where an id has
+    several texts, words go by document first.
+    """
+    if docs.groupBy(language, doc).count().filter("count > 1").limit(1).count():
+        return token_freq(document_tokens(docs, language, doc, text))
+    rows = docs.select(F.col(language).alias("language"), F.col(doc).alias("book_id"), words(F.col(text)).alias("w"))
+    both = F.array(F.struct(F.lit(0).alias("own"), F.col("w").alias("w")), F.struct(F.lit(1).alias("own"), F.array_distinct("w").alias("w")))
+    rows = rows.select("language", "book_id", F.explode(both).alias("x")).select("language", "book_id", "x.own", F.posexplode("x.w").alias("ord", "key"))
+    book, place = (F.when(F.col("own") == 1, F.col(c)) for c in ("book_id", "ord"))
+    total = rows.groupBy("language", "key").agg(F.sum(1 - F.col("own")).alias("count"), F.sum("own").alias("doc_count"), F.min(book).alias("first_book"), F.min_by(place, book).alias("first_ord"))
+    return _ranked(total, ("key",))
+
+
 def modal_value(rows: DataFrame, keys: list[str], value: str, order: str, out: str = "modal") -> DataFrame:
     """The most frequent non-empty value per key, ties to the one seen first; '' where there is none."""
     counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))

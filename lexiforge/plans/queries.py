@@ -49,7 +49,7 @@ c AS (SELECT * FROM r ANTI JOIN s USING (language, key) WHERE length(key) >= 2 A
 
 
 def _freq(spark, sf_dir):
-    return freq.token_freq(freq.document_tokens(read(spark, sf_dir, "documents")))
+    return freq.document_freq(read(spark, sf_dir, "documents"))
 
 
 def _candidates(spark, sf_dir):

@@ -54,7 +54,7 @@ def scan_tokens(spark, sf_dir):
 @query(f"WITH {_TOKENS_SQL} SELECT language, rank, key, '' AS reading, 'w' AS pos, count, doc_count FROM r")
 def write_freq_tsv(spark, sf_dir):
     path = storage.work_path(spark, "freq")
-    table = freq.token_freq(freq.document_tokens(read(spark, sf_dir, "documents")))
+    table = freq.document_freq(read(spark, sf_dir, "documents"))
     sinks.write_freq_tsv(table.withColumns({"reading": F.lit(""), "pos": F.lit("w")}), path)
     return files.scan_freq_tsv(spark, path).select("language", "rank", "key", F.coalesce("reading", F.lit("")).alias("reading"), "pos", "count", "doc_count")
 

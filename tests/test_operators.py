@@ -276,3 +276,15 @@ def test_equal_examples_meet_the_chunks_once_slice_by_slice(spark, monkeypatch,
     got = rows(lookup.first_annotation(spark.createDataFrame(examples, "id int, text string"), spark.createDataFrame(chunks, "path string, chunk_text string").repartition(3), need_reading), "id", "annot")
     assert got == [*((k, chunks[0][1]) for k in range(200)), (900, chunks[-1][1])] + ([] if need_reading else [(901, "0123456789")])
     assert 0 < sum(met) < 40
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_document_freq_equals_token_freq_without_rows_by_document(spark, repeated):
+    docs = [(1, "x", "b a B, c."), (2, "x", "Ο ΣΑΣ'Α ΟΔΟΣ ΣΑΣ İx İX c"), (3, None, "a"), (4, "x", None), (5, "y", "...")] + [(2, "x", "c d")] * repeated
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    columns = ("language", "rank", "key", "count", "doc_count")
+    by = lambda f: sorted(map(str, f.select(*columns).collect()))
+    found = freq.document_freq(df)
+    assert by(found) == by(freq.token_freq(freq.document_tokens(df)))
+    assert {r.key for r in found.filter("language = 'x'").collect()} >= {"οδος", "σας", "α", "i̇x"}
+    assert found.filter("key = 'c'").first().asDict().items() >= {"count": 2 + repeated, "doc_count": 2}.items()
