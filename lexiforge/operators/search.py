@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiforge import storage
 from lexiforge.functions.tokenizers import words
 from lexiforge.schemas import PAGE_SEARCH
 
@@ -24,10 +25,14 @@ def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def lookup(docs: DataFrame, id_col: str, text_col: str, query: str) -> tuple[DataFrame, int, float]:
     """(postings of the query's terms, documents with a word, their mean length) straight from the texts, without the whole index."""
     terms = sorted({t for t in query.lower().split() if t})
-    rows = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w")).withColumn("doc_len", F.size("w").cast("long")).filter("doc_len > 0")
+    rows = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
+    tf = lambda t: F.size("w") - F.size(F.array_remove("w", t))
+    hits = F.array(*[F.struct(F.lit(t).alias("term"), tf(t).alias("tf")) for t in terms]).cast("array<struct<term:string,tf:bigint>>")
+    # texts are read once; all that follows reads the narrow rows
+    rows = storage.kept(rows.select("id", F.size("w").cast("long").alias("doc_len"), hits.alias("hits")), "postings").filter("doc_len > 0")
     n, mean = rows.agg(F.count("*"), F.avg("doc_len")).first()
-    hits = rows.select("id", "doc_len", F.posexplode(F.filter("w", lambda x: x.isin(terms) if terms else F.lit(False))).alias("nth", "term"))
-    return hits.groupBy("term", "id", "doc_len").agg(F.count("*").alias("tf")), n, mean
+    hits = rows.select("id", "doc_len", F.inline("hits")).filter("tf > 0")
+    return hits.groupBy("term", "id", "doc_len").agg(F.sum("tf").alias("tf")), n, mean
 
 
 def search(postings: DataFrame, docs: DataFrame, query: str, facets: dict | None = None, id_col: str = "id", sort: str | None = None, page: int = 1, size: int = PAGE_SEARCH, n_docs: int | None = None, mean_len: float | None = None) -> DataFrame:

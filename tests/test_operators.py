@@ -288,3 +288,11 @@ def test_document_freq_equals_token_freq_without_rows_by_document(spark, repeate
     assert by(found) == by(freq.token_freq(freq.document_tokens(df)))
     assert {r.key for r in found.filter("language = 'x'").collect()} >= {"οδος", "σας", "α", "i̇x"}
     assert found.filter("key = 'c'").first().asDict().items() >= {"count": 2 + repeated, "doc_count": 2}.items()
+
+
+def test_lookup_reads_the_texts_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "The cat, the dog"), (2, "..."), (3, "THE of of"), (4, None)], "id long, text string")
+    docs.write.parquet(str(tmp_path / "d"))
+    postings, n, mean = search.lookup(spark.read.parquet(str(tmp_path / "d")), "id", "text", "the OF")
+    assert (n, mean) == (2, 3.5) and rows(postings, "term", "id", "tf") == [("of", 3, 2), ("the", 1, 2), ("the", 3, 1)]
+    assert str(tmp_path / "d") not in postings._jdf.queryExecution().executedPlan().toString()
