@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiforge import schemas, storage
 from lexiforge.functions.decode import decode_text as decoded_text
-from lexiforge.functions.tokenizers import tokens
+from lexiforge.functions.tokenizers import tokens, words_by_book
 from lexiforge.operators import freq
 from lexiforge.plans.queries import _TOKENS_SQL, _UWS, STOPS, query, read
 from lexiforge.sources import files, sinks
@@ -46,9 +46,9 @@ def tokenize_book(spark, sf_dir):
 @query(f"WITH {_WORDS_SQL} SELECT doc_id::VARCHAR AS book_id, count(*) AS n, sha256(string_agg(s || '/' || lower(s), ' ' ORDER BY a, i)) AS words FROM k GROUP BY doc_id")
 def scan_tokens(spark, sf_dir):
     path = storage.work_path(spark, "tokens")
-    _tokens(spark, sf_dir).write.json(path)
-    rows = files.scan_tokens(spark, path).groupBy("book_id").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("a", "i", F.concat("s", F.lit("/"), "b").alias("w")))).alias("w"))
-    return rows.select("book_id", "n", F.sha2(F.array_join(F.transform("w", lambda x: x["w"]), " "), 256).alias("words"))
+    _tokens(spark, sf_dir).write.json(path, compression="lz4")
+    rows = words_by_book(files.scan_tokens(spark, path))
+    return rows.select("book_id", "n", F.sha2("words", 256).alias("words"))
 
 
 @query(f"WITH {_TOKENS_SQL} SELECT language, rank, key, '' AS reading, 'w' AS pos, count, doc_count FROM r")

@@ -92,3 +92,15 @@ def test_tokens(spark):
     assert [(t.s, t.b, t.i) for t in got] == [("Ab", "ab", 0), ("cd", "cd", 1), ("Ef", "ef", 2)]
     tokenizers.register("zz", "json", lambda text: [{"s": text, "b": "", "r": None, "p": "", "rs": None}] if text != "Ab cd​, Ef" else 1 / 0)
     assert [t.s for t in tokenizers.tokens(rows.union(spark.createDataFrame([("b", 2, 0, "q", "")], schemas.PARAGRAPH)), "zz").collect()] == ["q"]
+
+
+def test_words_by_book_joins_runs_before_the_shuffle(spark):
+    kind = "book_id string, c int, a int, i int, s string, b string"
+    tokens = [(b, 0, a, i, f"W{a}{i}", f"w{a}{i}") for b in ("x", "y") for a in range(4) for i in range(5)]
+    want = {b: (20, " ".join(f"W{a}{i}/w{a}{i}" for a in range(4) for i in range(5))) for b in ("x", "y")}
+    for rows in (tokens, tokens[::-1], tokens[::2] + tokens[1::2]):
+        found = tokenizers.words_by_book(spark.createDataFrame(rows, kind).repartition(3, "i"))
+        assert {r.book_id: (r.n, r.words) for r in found.collect()} == want
+    one = tokenizers.words_by_book(spark.createDataFrame([*tokens, ("z", 0, 0, 0, None, "b")], kind).coalesce(1))
+    assert {r.book_id: (r.n, r.words) for r in one.collect()} == want | {"z": (1, "")}
+    assert "ObjectHashAggregate" in (plan := one._jdf.queryExecution().executedPlan().toString()) and "MapInArrow" in plan
