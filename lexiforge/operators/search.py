@@ -13,13 +13,50 @@ from lexiforge.functions.tokenizers import words
 from lexiforge.schemas import PAGE_SEARCH
 
 K1, B = 1.2, 0.75
+#: Words that an index task holds at a time, some.
+RUN = 200_000
 
 
 def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(term, id, tf, positions, doc_len): one row per term and document."""
-    rows = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w")).withColumn("doc_len", F.size("w").cast("long"))
-    rows = rows.select("id", "doc_len", F.posexplode("w").alias("pos", "term"))  # the length is taken below the explode, once a document
-    return rows.groupBy("term", "id", "doc_len").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
+    """(term, id, tf, positions, doc_len): one row per term and document.
+
+    A document's rows come from its text alone, in Arrow batches, so that nothing is shuffled; only where an id has several texts
+    are the words of all documents grouped.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
+    if docs.groupBy(id_col).count().filter("count > 1").limit(1).count():
+        rows = rows.withColumn("doc_len", F.size("w").cast("long"))
+        rows = rows.select("id", "doc_len", F.posexplode("w").alias("pos", "term"))  # the length is taken below the explode, once a document
+        return rows.groupBy("term", "id", "doc_len").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(_postings, f"term string, id {kind}, doc_len long, tf long, positions array<int>")
+
+
+def _postings(batches):
+    """(id, words) to a row per term and document; some RUN words at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        lengths = batch.column(1).value_lengths().to_numpy(zero_copy_only=False).astype("int64")
+        ends = np.cumsum(lengths)
+        done = 0
+        while done < batch.num_rows:
+            n = max(1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + RUN, "right")) - done)
+            part, own = batch.slice(done, n), lengths[done : done + n]
+            done += n
+            if not own.sum():
+                continue
+            doc, coded = np.repeat(np.arange(n), own), part.column(1).flatten().dictionary_encode()
+            place = np.arange(len(doc)) - np.repeat(np.cumsum(own) - own, own)
+            key = doc * len(coded.dictionary) + coded.indices.to_numpy()
+            order = np.argsort(key, kind="stable")  # places stay in order
+            first = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+            tf, at, docs = np.diff(np.append(first, len(doc))), order[first], pa.array(doc[order[first]])
+            positions = pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype("int32")), pa.array(place[order].astype("int32")))
+            term = coded.dictionary.take(coded.indices.take(pa.array(at)))
+            made = pa.RecordBatch.from_arrays([term, part.column(0).take(docs), pa.array(own[doc[at]]), pa.array(tf.astype("int64")), positions], names=["term", "id", "doc_len", "tf", "positions"])
+            yield made.take(pa.array(np.lexsort((place[at], tf))))  # equal positions side by side: as a table they take less
 
 
 def lookup(docs: DataFrame, id_col: str, text_col: str, query: str) -> tuple[DataFrame, int, float]:

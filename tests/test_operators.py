@@ -296,3 +296,20 @@ def test_lookup_reads_the_texts_once(spark, tmp_path):
     postings, n, mean = search.lookup(spark.read.parquet(str(tmp_path / "d")), "id", "text", "the OF")
     assert (n, mean) == (2, 3.5) and rows(postings, "term", "id", "tf") == [("of", 3, 2), ("the", 1, 2), ("the", 3, 1)]
     assert str(tmp_path / "d") not in postings._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_index_without_a_shuffle(spark, monkeypatch, repeated):
+    monkeypatch.setattr(search, "RUN", 3)
+    docs = [(1, "b a b"), (2, None), (3, "..."), (4, "a"), (5, "C c, C d a b"), (None, "x x")] + [(4, "b")] * repeated
+    df = spark.createDataFrame(docs, "id long, text string").coalesce(1)
+    found = search.index(df, "id", "text")
+    want = {}
+    for i, text in docs:
+        own = re.findall(r"\w+", (text or "").lower())
+        for k, w in enumerate(own):
+            want.setdefault((w, i, len(own)), []).append(k)
+    got = {(r.term, r.id, r.doc_len): (r.tf, sorted(r.positions)) for r in found.collect()}
+    assert got == {k: (len(v), sorted(v)) for k, v in want.items()} or repeated and got[("b", 4, 1)] == (1, [0])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("Aggregate" in plan) == repeated
