@@ -166,3 +166,29 @@ def test_html_paragraphs(spark):
 def test_schemas_export():
     assert set(schemas.json_schemas()) == {"grammar_entry", "vocab_entry"}
     assert schemas.LEVEL_RANK["N1"] == 5 and schemas.LEVEL_RANK["TOPIK6"] == 6
+
+
+def test_shown_ruby_takes_one_pass(spark):
+    from lexiforge.functions import text as X
+
+    texts = ["食べ物[もの]を山々[やまやま]へ", "漢[a][b]c", "[x]漢字]か漢", "漢字[かん", "𠀋漢[か]𠀋", "x[y]z", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.display_ruby(F.col("t")).alias("p"))
+    run = "㐀-鿿豈-﫿々〆ヶ"
+    for r in df.collect():
+        want = [(m[1] or m[0], m[2] or "") for m in re.finditer(rf"([{run}]+)\[([^\[\]]+)\]|([^\[\]{run}]+|[{run}]+(?!\[))", r.t)]
+        assert [(p.base, p.read) for p in r.p] == want
+    assert df._jdf.queryExecution().analyzed().toString().count("regexp_extract_all") == 1
+
+
+def test_pages_are_parsed_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    from lexiforge.functions import html as H
+
+    made, own = [], pa.array
+    monkeypatch.setattr(H, "SLICE", 30)
+    monkeypatch.setattr(H.pa, "array", lambda rows, kind: made.append(len(rows)) or own(rows, kind))
+    pages = ["<h1>T</h1><p>one two</p><p>b3</p>", None, "<p>q1</p>", "<p><ruby>漢<rt>かん</rt></ruby>字字</p>"] * 5
+    got = H.document.func(own(pages)).to_pylist()
+    assert [len(x["paras"]) for x in got] == [2, 0, 1, 1] * 5 and got[3]["paras"] == [{"text": "漢字字", "annot": "漢[かん]字字"}]
+    assert max(made) <= 4
