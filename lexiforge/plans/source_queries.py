@@ -77,9 +77,9 @@ def scan_stopwords(spark, sf_dir):
 
 def _json_files(rows: DataFrame, name: str, group: str) -> str:
     """(group, json) as one JSON array a group, each in a file of its own."""
-    path = storage.work_path(rows.sparkSession, name)
+    path = storage.work_path(rows.sparkSession, name, make=True)
     whole = rows.groupBy(group).agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("json")), ","), F.lit("]")).alias("value"))
-    whole.repartition(group).write.partitionBy(group).text(path)
+    sinks.write_files(whole.select(F.concat(group, F.lit(".json")).alias("name"), "value"), path).count()
     return path
 
 
@@ -89,8 +89,8 @@ def _candidate_files(spark, sf_dir):
     point = lambda hint: F.struct(F.col("source").alias("title_zh"), F.lit("s").alias("structure"), F.col("lang").alias("level"), example.alias("examples"), hint.alias("frequency_hint"))
     points = F.array(point(F.to_json(F.struct(F.col("n_chars").alias("n")))), point(F.lit(None).cast("string")))
     own = F.struct(F.col("doc_id").cast("string").alias("book_id"), F.lit(7).alias("chunk_idx"), F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("chunk_text"), F.when(F.col("doc_id") % 2 == 0, F.struct(points.alias("grammar_points"))).alias("result"), F.when(F.col("doc_id") % 2 == 1, points).alias("grammar_points"))
-    # every tenth document in a file of its own, every fifth of those broken
-    file = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("d"), "doc_id")).otherwise(F.col("source"))
+    # every tenth document in a file of its own, every fifth of those broken; the others by source, of some thousand ids each, so that files don't grow
+    file = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("d"), "doc_id")).otherwise(F.concat_ws("-", "source", F.expr("doc_id div 10000")))
     return _json_files(docs.select(file.alias("file"), F.when(F.col("doc_id") % 50 == 0, "{broken").otherwise(F.to_json(own)).alias("json")), "candidates", "file")
 
 
@@ -176,34 +176,45 @@ def publish_books_json(spark, sf_dir):
     return found.select("book_id", "title_orig", F.lit(not {"sha256", "epub_path"} & set(found.columns)).alias("inside"))
 
 
-def _book(path: str):
-    """(book, doc_id, text, ...) of one book to its e-book file."""
-
-    def book(pdf):
-        import io
-        import zipfile
-        from html import escape
-
-        import pandas as pd
-
-        pdf = pdf.sort_values("doc_id")
-        book_id, lang = pdf["book"].iloc[0], pdf["lang"].iloc[0]
-        out, names = io.BytesIO(), [f"c{d}.xhtml" for d in pdf["doc_id"]]
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("META-INF/container.xml", '<container><rootfiles><rootfile full-path="o/b.opf"/></rootfiles></container>')
-            items = "".join(f'<item id="i{k}" href="{n}"/>' for k, n in enumerate(["nav.xhtml", *names]))
-            refs = "".join(f'<itemref idref="i{k}"/>' for k in [*range(len(names) + 1), 999_999])
-            z.writestr("o/b.opf", f'<package><title>{book_id}</title><item id="css" media-type="text/css" href="s.css"/>{items}{refs}</package>')
-            z.writestr("o/s.css", "p{writing-mode:Vertical-rl}" if lang == "de" else "p{}")
-            z.writestr("o/nav.xhtml", "<p>" + "no chapter " * 20 + "</p>")
-            for name, doc, text in zip(names, pdf["doc_id"], pdf["text"], strict=True):
-                lines = [escape(x, quote=False) for x in (text or "").split("\n")]
-                ruby = "<ruby>漢<rp>(</rp><rt>かん</rt><rp>)</rp></ruby>" if doc % 5 == 0 else ""
-                head = f"<h2>T {doc}</h2>" if sum(bool(x.strip()) for x in [ruby + lines[0], *lines[1:]]) >= 3 else ""
-                z.writestr(f"o/{name}", f"<html><body>{head}<p>{ruby}" + "</p><p>".join(lines) + "</p></body></html>")
-        return pd.DataFrame({"name": [f"{lang}/{book_id}.epub"], "value": [out.getvalue()]})
-
-    return book
+def _books(batches):
+    """(book, lang, doc_id, text) in order of books and documents to (name, value): each book's e-book file."""
+    from itertools import groupby
+
+    import pyarrow as pa
+
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    names, values, size = [], [], 0
+    for book, own in groupby(rows, lambda r: r[0]):
+        own = list(own)
+        names.append(f"{own[0][1]}/{book}.epub")
+        values.append(_book(book, own[0][1], [r[2:] for r in own]))
+        size += len(values[-1])
+        if size > files.HELD:
+            yield pa.RecordBatch.from_pydict({"name": names, "value": values})
+            names, values, size = [], [], 0
+    yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string()), "value": pa.array(values, pa.binary())})
+
+
+def _book(book_id: str, lang: str, docs: list[tuple]) -> bytes:
+    """The e-book file of a book's (doc_id, text)."""
+    import io
+    import zipfile
+    from html import escape
+
+    out, names = io.BytesIO(), [f"c{d}.xhtml" for d, _ in docs]
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("META-INF/container.xml", '<container><rootfiles><rootfile full-path="o/b.opf"/></rootfiles></container>')
+        items = "".join(f'<item id="i{k}" href="{n}"/>' for k, n in enumerate(["nav.xhtml", *names]))
+        refs = "".join(f'<itemref idref="i{k}"/>' for k in [*range(len(names) + 1), 999_999])
+        z.writestr("o/b.opf", f'<package><title>{book_id}</title><item id="css" media-type="text/css" href="s.css"/>{items}{refs}</package>')
+        z.writestr("o/s.css", "p{writing-mode:Vertical-rl}" if lang == "de" else "p{}")
+        z.writestr("o/nav.xhtml", "<p>" + "no chapter " * 20 + "</p>")
+        for name, (doc, text) in zip(names, docs, strict=True):
+            lines = [escape(x, quote=False) for x in (text or "").split("\n")]
+            ruby = "<ruby>漢<rp>(</rp><rt>かん</rt><rp>)</rp></ruby>" if doc % 5 == 0 else ""
+            head = f"<h2>T {doc}</h2>" if sum(bool(x.strip()) for x in [ruby + lines[0], *lines[1:]]) >= 3 else ""
+            z.writestr(f"o/{name}", f"<html><body>{head}<p>{ruby}" + "</p><p>".join(lines) + "</p></body></html>")
+    return out.getvalue()
 
 
 _BOOKS_SQL = rf"""l AS (SELECT doc_id, lang, lang || '-' || source || '-' || doc_id // 100 AS book, a, regexp_replace(regexp_replace(CASE WHEN doc_id % 5 = 0 AND a = 0 THEN '漢' ELSE '' END || line, '{_UWS}+', ' ', 'g'), '^ | $', '', 'g') AS t FROM ({_LINES})),
@@ -219,7 +230,7 @@ def _corpus(spark, sf_dir) -> DataFrame:
     """Documents as e-books of up to a hundred chapters, written as files and scanned."""
     lang = F.when(F.col("lang") == "en", "ko").when(F.col("lang") == "de", "ja").when(F.col("lang") == "fr", "th").otherwise("vi")
     docs = read(spark, sf_dir, "documents").withColumn("book", F.concat_ws("-", "lang", "source", F.expr("doc_id div 100")))
-    books = docs.select("book", "lang", "doc_id", "text").groupBy("book").applyInPandas(_book(""), "name string, value binary")
+    books = docs.select("book", "lang", "doc_id", "text").repartition("book").sortWithinPartitions("book", "doc_id").mapInArrow(_books, "name string, value binary")
     old, new = F.split_part("name", F.lit("/"), F.lit(1)), F.split_part("name", F.lit("/"), F.lit(2))
     lang = F.when(old == "en", "ko").when(old == "de", "ja").when(old == "fr", "th").otherwise("vi")
     root = storage.work_path(spark, "corpus", make=True)
@@ -277,8 +288,8 @@ def write_tutorial(spark, sf_dir):
     root = storage.work_path(spark, "tutorials", make=True)
     rows = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("level"), F.lit("draft").alias("status"), F.concat(F.lit("```markdown\n"), "text", F.lit("\n```")).alias("body"))
     sinks.write_tutorials(rows, root)
-    found = spark.read.text(root, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"(\d+)\.md$", 1).cast("long").alias("doc_id"), "value")
-    return found.select("doc_id", F.sha2("value", 256).alias("file"))
+    found = files.whole_files(spark, root, "*.md").select(F.regexp_extract("path", r"(\d+)\.md$", 1).cast("long").alias("doc_id"), "content")
+    return found.select("doc_id", F.sha2("content", 256).alias("file"))
 
 
 @query("""WITH g AS (SELECT lang AS language, count(*) AS n FROM documents GROUP BY lang)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import fnmatch
 import io
+import os
 import posixpath
-import re
 import zipfile
 from xml.etree import ElementTree
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiforge import schemas
+from lexiforge import schemas, storage
 from lexiforge.functions.decode import decoded
 from lexiforge.functions.html import paragraphs_of, parse, title_of
 
@@ -21,9 +22,61 @@ LANGUAGE_ORDER = {lang: k for k, lang in enumerate(schemas.LANGUAGES)}
 NOT_CHAPTERS = ("nav", "toc", "cover", "contents", "ads")
 
 
+#: Bytes of files and characters of chapters that a worker holds at a time, some.
+HELD = 4_000_000
+
+
+def whole_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """(path, content) of the files below root whose names fit.
+
+    In a mounted folder workers list and read them, however many there are: Spark's own reader keeps the state of every file on the driver
+    and has a task for every few dozens of small ones.  It reads other stores.
+    """
+    top = storage.local_path(root)
+    if top is None or any(c in top for c in "*?[{"):
+        return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root).select("path", "content")
+    if not storage.exists(spark, root):
+        raise FileNotFoundError(root)
+
+    def names(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for one in batch.column(0).to_pylist():
+                found = []
+                for folder, below, own in os.walk(one):
+                    below[:] = [d for d in below if d[0] not in "._"]
+                    for name in own:
+                        if name[0] not in "._" and fnmatch.fnmatchcase(name, pattern):
+                            found.append(f"{folder}/{name}")
+                            if len(found) == 10_000:
+                                yield pa.RecordBatch.from_pydict({"path": found})
+                                found = []
+                yield pa.RecordBatch.from_pydict({"path": pa.array(found, pa.string())})
+
+    def contents(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            paths, held, size = [], [], 0
+            for path in batch.column(0).to_pylist():
+                with open(path, "rb") as f:
+                    held.append(f.read())
+                paths.append(f"file:{path}")
+                size += len(held[-1])
+                if size > HELD:
+                    yield pa.RecordBatch.from_pydict({"path": paths, "content": held})
+                    paths, held, size = [], [], 0
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "content": pa.array(held, pa.binary())})
+
+    tasks = max(8 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = spark.createDataFrame([(top.rstrip("/") or "/",)], "path string").mapInArrow(names, "path string")
+    return found.repartition(tasks).mapInArrow(contents, "path string, content binary")
+
+
 def scan_corpus(spark: SparkSession, root: str, language: str | None = None) -> DataFrame:
     """(lang, path, sha256, content, lang_ord) of root/<lang>/*.epub; their order is (lang_ord, path), contents aren't sorted."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").option("recursiveFileLookup", "true").load(root)
+    files = whole_files(spark, root, "*.epub")
     lang = F.regexp_extract("path", r"/([^/]+)/[^/]+\.epub$", 1)
     order = F.create_map(*[F.lit(x) for pair in LANGUAGE_ORDER.items() for x in pair])
     rows = files.select(lang.alias("lang"), "path", F.sha2("content", 256).alias("sha256"), "content")
@@ -68,21 +121,37 @@ def scan_epub(books: DataFrame) -> DataFrame:
     """(book_id, title_orig, content) to one row per chapter; a book without chapters or that can't be read has one row
     with null chapter_idx and status unpacked or failed_unpack."""
 
+    kind = books.schema["book_id"].dataType.simpleString()
+
     def unpack(batches):
-        import pandas as pd
+        import pyarrow as pa
+
+        paras = pa.list_(pa.struct([("text", pa.string()), ("annot", pa.string())]))
+        own = [pa.string(), pa.string(), pa.bool_(), pa.string(), pa.int32(), pa.string(), paras, pa.int64()]
+
+        def made(ids, rows):
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), own, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(ids, books_id), *columns], names=["book_id", "title_orig", "script", "has_ruby", "status", "chapter_idx", "title", "paras", "char_count"])
 
-        names = [x.split()[0] for x in re.split(r",\s(?![^<]*>)", _EPUB)]
         for batch in batches:
-            for row in batch.itertuples():  # a book at a time: its chapters may be large
+            books_id, ids, rows, held = batch.column(0).type, [], [], 0
+            for book_id, title, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 try:
-                    book = read_epub(row.content)
-                    kept = [row.book_id, book["title"] or row.title_orig, book["script"], book["has_ruby"], "unpacked"]
-                    rows = [(*kept, c["chapter_idx"], c["title"], c["paras"], c["char_count"]) for c in book["chapters"]] or [(*kept, None, None, None, None)]
+                    book = read_epub(content)
+                    kept = [book["title"] or title, book["script"], book["has_ruby"], "unpacked"]
+                    new = [(*kept, c["chapter_idx"], c["title"], c["paras"], c["char_count"]) for c in book["chapters"]] or [(*kept, None, None, None, None)]
                 except Exception:  # noqa: BLE001
-                    rows = [(row.book_id, row.title_orig, None, None, "failed_unpack", None, None, None, None)]
-                yield pd.DataFrame(rows, columns=names).astype({"chapter_idx": "Int32", "char_count": "Int64"})
+                    new = [(title, None, None, "failed_unpack", None, None, None, None)]
+                ids += [book_id] * len(new)
+                rows += new
+                held += sum(r[-1] or 0 for r in new)
+                if held > HELD:
+                    yield made(ids, rows)
+                    ids, rows, held = [], [], 0
+            if rows:
+                yield made(ids, rows)
 
-    return books.select("book_id", "title_orig", "content").mapInPandas(unpack, _EPUB)
+    return books.select("book_id", "title_orig", "content").mapInArrow(unpack, _EPUB.replace("book_id string", f"book_id {kind}", 1))
 
 
 def scan_chapters(spark: SparkSession, path: str) -> DataFrame:
@@ -158,7 +227,7 @@ def scan_kb(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """Entries of root/<kind>/<language>/*.yaml; kind: grammar or vocab.  Files that can't be parsed are left out."""
     grammar = kind == "grammar"
     schema = schemas.GRAMMAR if grammar else schemas.VOCAB
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*-grm-*.yaml" if grammar else "*-voc-*.yaml").option("recursiveFileLookup", "true").load(f"{root}/{kind}").select("path", "content")
+    files = whole_files(spark, f"{root}/{kind}", "*-grm-*.yaml" if grammar else "*-voc-*.yaml")
 
     def load(batches):
         import json

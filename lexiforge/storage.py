@@ -66,6 +66,13 @@ def store_and_path(uri: str):
     return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
 
 
+def local_path(uri: str) -> str | None:
+    """The path of a folder that driver and workers mount, or null for other stores."""
+    if uri.startswith("file:"):
+        return re.sub("^file:/+", "/", uri)
+    return uri if uri.startswith("/") else None
+
+
 def write_whole(store, path: str, content: bytes) -> None:
     """A file of a worker, whole or not at all; an earlier attempt's file is replaced."""
     beside = f"{path}.{uuid.uuid4().hex}"

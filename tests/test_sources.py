@@ -2,8 +2,10 @@
 
 import io
 import json
+import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexiforge import schemas
@@ -104,3 +106,50 @@ def test_words_by_book_joins_runs_before_the_shuffle(spark):
     one = tokenizers.words_by_book(spark.createDataFrame([*tokens, ("z", 0, 0, 0, None, "b")], kind).coalesce(1))
     assert {r.book_id: (r.n, r.words) for r in one.collect()} == want | {"z": (1, "")}
     assert "ObjectHashAggregate" in (plan := one._jdf.queryExecution().executedPlan().toString()) and "MapInArrow" in plan
+
+
+def test_whole_files_by_workers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "HELD", 5)
+    want = {}
+    for k in range(40):
+        name = tmp_path / f"d{k % 3}" / "deep" / f"{k} ä%20.md"
+        name.parent.mkdir(parents=True, exist_ok=True)
+        name.write_bytes(b"x" * k + b"\xff")
+        want[f"file:{name}"] = name.read_bytes()
+    for odd in ("d0/_hidden.md", "d0/.hidden.md", "d0/a.txt", "_tmp/x.md"):
+        (tmp_path / odd).parent.mkdir(exist_ok=True)
+        (tmp_path / odd).write_text("no")
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        found = files.whole_files(spark, root, "*.md")
+        assert {r.path: bytes(r.content) for r in found.collect()} == want
+        assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString()
+    assert files.whole_files(spark, f"{tmp_path}/d0", "*.epub").count() == 0
+    with pytest.raises(FileNotFoundError):
+        files.whole_files(spark, f"{tmp_path}/absent", "*.md")
+
+
+def test_books_of_scan_epub_share_batches(spark, monkeypatch):
+    book = epub([("a.xhtml", "<h1>One</h1><p>" + "word " * 30 + "</p>"), ("b.xhtml", "<h1>Two</h1><p>" + "word " * 40 + "</p>")])
+    rows = [(k, f"t{k}", b"broken" if k % 3 == 0 else book) for k in range(12)]
+    found = files.scan_epub(spark.createDataFrame(rows, "book_id long, title_orig string, content binary").coalesce(1))
+    assert sorted((r.book_id, r.status, r.chapter_idx or 0, r.title, len(r.paras or []), r.char_count or 0) for r in found.collect()) == sorted(
+        x for k in range(12) for x in ([(k, "failed_unpack", 0, None, 0, 0)] if k % 3 == 0 else [(k, "unpacked", 1, "One", 2, 152), (k, "unpacked", 2, "Two", 2, 202)])
+    )
+    assert found.dtypes[0] == ("book_id", "bigint") and "MapInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_entries_with_one_id_are_files_once(spark, tmp_path):
+    kind = "id string, language string, title string, path string"
+    entries = spark.createDataFrame([("ja-grm-00001", "ja", "題: #1 𠀋\n\n yes", "p"), ("ja-grm-00001", "ja", "題: #1 𠀋\n\n yes", "q"), ("ko-grm-00002", "ko", "null", "p")], kind)
+    assert sinks.write_entry_files(entries, str(tmp_path), "grammar") == 3
+    got = {r.id: r.title for r in files.scan_kb(spark, str(tmp_path), "grammar").collect()}
+    assert got == {"ja-grm-00001": "題: #1 𠀋\n\n yes", "ko-grm-00002": "null"}
+
+
+def test_candidate_files_stay_small(spark, tmp_path):
+    from lexiforge.plans import source_queries
+
+    docs = [(k, "text", "en", "src", 4) for k in range(1, 40_000, 777)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    path = source_queries._candidate_files(spark, str(tmp_path)).removeprefix("file:")
+    assert sum(name.startswith("src-") for name in os.listdir(path)) == 4
