@@ -22,45 +22,56 @@ def write_entries(entries: DataFrame, path: str) -> None:
 
 def yaml_of(entries: DataFrame) -> DataFrame:
     """(id, yaml): one document per entry, key order kept, Unicode as it is; Arrow-batched."""
+    return _dumped(entries, "id")
+
+
+def _dumped(entries: DataFrame, *keep: str) -> DataFrame:
+    """The columns `keep` of each entry and its yaml, by libyaml where it is there."""
 
     def dump(batches):
         import json
 
-        import pandas as pd
+        import pyarrow as pa
         import yaml
 
+        dumper = getattr(yaml, "CSafeDumper", yaml.SafeDumper)
         for batch in batches:
-            texts = [yaml.safe_dump(json.loads(x), allow_unicode=True, sort_keys=False) for x in batch["json"]]
-            yield pd.DataFrame({"id": batch["id"], "yaml": texts})
+            texts = (yaml.dump(json.loads(x), Dumper=dumper, allow_unicode=True, sort_keys=False) for x in batch.column("json").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*keep, "yaml"])
 
     body = [c for c in entries.columns if c != "path"]
-    rows = entries.select("id", F.to_json(F.struct(*body), {"ignoreNullFields": "false"}).alias("json"))
-    return rows.mapInPandas(dump, "id string, yaml string")
+    rows = entries.select(*keep, F.to_json(F.struct(*body), {"ignoreNullFields": "false"}).alias("json"))
+    return rows.mapInArrow(dump, ", ".join(f"{c} string" for c in [*keep, "yaml"]))
 
 
 def write_files(rows: DataFrame, root: str) -> DataFrame:
     """rows (name, value) as files root/name, by the workers; returns (name, bytes) of what was written, and writes when read."""
 
     def write(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         store, path = storage.store_and_path(root)
+        made = set()
         for batch in batches:
-            sizes = []
-            for name, value in zip(batch["name"], batch["value"], strict=True):
-                content = value.encode() if isinstance(value, str) else bytes(value)
-                store.create_dir(f"{path}/{name}".rpartition("/")[0], recursive=True)
+            names, sizes = batch.column(0).to_pylist(), []
+            for name, value in zip(names, batch.column(1), strict=True):
+                value = value.as_py()
+                content = value.encode() if isinstance(value, str) else value
+                folder = f"{path}/{name}".rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 storage.write_whole(store, f"{path}/{name}", content)
                 sizes.append(len(content))
-            yield pd.DataFrame({"name": batch["name"], "bytes": sizes})
+            yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string()), "bytes": pa.array(sizes, pa.int64())})
 
-    return rows.select("name", "value").mapInPandas(write, "name string, bytes long")
+    return rows.select("name", "value").mapInArrow(write, "name string, bytes long")
 
 
 def write_entry_files(entries: DataFrame, root: str, kind: str) -> int:
     """One YAML file an entry, root/<kind>/<language>/<id>.yaml; returns how many."""
-    texts = yaml_of(entries).join(entries.select("id", "language"), "id")
-    return write_files(texts.select(F.concat(F.lit(f"{kind}/"), "language", F.lit("/"), "id", F.lit(".yaml")).alias("name"), F.col("yaml").alias("value")), root).count()
+    name = F.concat(F.lit(f"{kind}/"), "language", F.lit("/"), "id", F.lit(".yaml"))
+    return write_files(_dumped(entries, "id", "language").select(name.alias("name"), F.col("yaml").alias("value")), root).count()
 
 
 def tutorial_text(tutorials: DataFrame) -> DataFrame:
