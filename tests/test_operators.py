@@ -313,3 +313,9 @@ def test_index_without_a_shuffle(spark, monkeypatch, repeated):
     assert got == {k: (len(v), sorted(v)) for k, v in want.items()} or repeated and got[("b", 4, 1)] == (1, [0])
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert ("Aggregate" in plan) == repeated
+
+
+def test_plain_text_is_that_of_the_bases(spark):
+    texts = ["a漢[か]b", "漢[a][b]c", "[x]y", "a[[x]b]", "a[]b", "𠀋[か]𠀋[", "", "no"]
+    for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", lookup._plain(F.col("t")).alias("plain")).collect():
+        assert r.plain == "".join(m[1] for m in re.finditer(r"([^\[\]]+)(?:\[([^\[\]]+)\])?", r.t))
